@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from docketlake.llm import quality_rules
+from docketlake.llm import quality_rules, secret_scan, source_mixing
 
 QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_secret_scan": secret_scan.op9_secret_scan,
+    "op10_source_mixing": source_mixing.op10_source_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_source_mixing": source_mixing.ORACLE,
+}
