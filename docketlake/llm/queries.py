@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docketlake.llm import quality_classifier, quality_rules, secret_scan, source_mixing, token_output
+from docketlake.llm import decontamination, quality_classifier, quality_rules, secret_scan, source_mixing, token_output
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
     "op6_token_output": token_output.op6_token_output,
+    "op7_decontamination": decontamination.op7_decontamination,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_source_mixing": source_mixing.op10_source_mixing,
