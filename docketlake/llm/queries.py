@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from docketlake.llm import decontamination, quality_classifier, quality_rules, secret_scan, source_mixing, token_output
+from docketlake.llm import decontamination, quality_classifier, quality_rules, secret_scan, source_mixing, substring_dedup, token_output
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
+    "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op6_token_output": token_output.op6_token_output,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_quality_rules": quality_rules.op8_quality_rules,
