@@ -66,7 +66,7 @@ def _id_keys(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 def _grouped(slices: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(slices, kind="stable")
     values, first = np.unique(slices[order], return_index=True)
-    for value, part in zip(values, np.split(order, first[1:]), strict=True):
+    for value, part in zip(values, np.split(order, first[1:]) if len(values) else [], strict=True):
         yield int(value), part
 
 
