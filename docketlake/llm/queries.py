@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docketlake.llm import decontamination, lm_scoring, quality_classifier, quality_rules, secret_scan, source_mixing, substring_dedup, token_output
+from docketlake.llm import decontamination, jaccard_join, lm_scoring, quality_classifier, quality_rules, secret_scan, source_mixing, substring_dedup, token_output
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
     "op2_lm_scoring": lm_scoring.op2_lm_scoring,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op6_token_output": token_output.op6_token_output,
     "op7_decontamination": decontamination.op7_decontamination,
