@@ -4,7 +4,468 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from docketlake.functions import scalars as S
+from docketlake.operators import aggregates, asof, feeds, filters, joins, store
+from docketlake.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+PURCHASES = """
+ev AS (SELECT event_id AS event_key, CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'purchase'),
+px AS (SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS d, arg_max(value, ts::VARCHAR || lpad(event_id::VARCHAR, 12, '0')) AS c FROM events WHERE event_type = 'view' GROUP BY 1, 2),
+a AS (SELECT ev.*, p.d AS d0, p.c AS c0 FROM ev ASOF LEFT JOIN px p ON ev.ticker = p.ticker AND ev.d <= p.d),
+b AS (SELECT a.*, p.d AS d1, p.c AS c1 FROM a ASOF LEFT JOIN px p ON a.ticker = p.ticker AND a.d + INTERVAL 7 DAY <= p.d),
+r AS (SELECT *, d0 IS NOT NULL AND d0 <= d + INTERVAL {search} DAY AS h0, d1 IS NOT NULL AND d1 <= d + INTERVAL {end} DAY AS h1 FROM b),
+rows AS (SELECT event_key, ticker, d, CASE WHEN h0 AND h1 AND c0 <> 0 THEN 'ok' ELSE 'skipped' END AS status,
+    CASE WHEN h0 AND h1 AND c0 <> 0 THEN (c1 - c0) / c0 END AS change_pct, CASE WHEN h0 THEN d0 END AS d0, CASE WHEN h1 THEN d1 END AS d1, h0, h1 FROM r)
+"""
+
+
+def registered(oracle: str | None = None):
+    """Register the function under its own name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def day(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("date").cast("string")
+
+
+def money(c: Column) -> Column:
+    """An exact sum, as a double: sums of doubles depend on their order."""
+    return F.sum(c.cast("decimal(18,2)")).cast("double")
+
+
+def purchases(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Purchases as events of a ticker (the user), and the last view of each day as its price."""
+    events = table(spark, d, "events")
+    bought = events.where("event_type = 'purchase'").select(F.col("event_id").alias("event_key"), F.col("user_id").cast("string").alias("ticker"), F.col("ts").cast("date").alias("event_date"))
+    views = events.where("event_type = 'view'").groupBy(F.col("user_id").cast("string").alias("ticker"), F.col("ts").cast("date").alias("date"))
+    return bought, views.agg(F.max_by("value", F.struct("ts", "event_id")).alias("close"))
+
+
+# --- as-of, returns and backtest
+
+
+@registered(
+    "WITH "
+    + PURCHASES.format(search=7, end=14)
+    + """SELECT count(*) AS events, count(*) FILTER (status = 'ok') AS priced, count(*) FILTER (status <> 'ok') AS skipped, round(avg(change_pct), 6) AS mean_change_pct,
+    round(median(change_pct), 6) AS median_change_pct, round(avg(CASE WHEN status = 'ok' THEN CASE WHEN change_pct > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END), 6) AS win_rate,
+    round(max(change_pct), 6) AS best_change_pct, round(min(change_pct), 6) AS worst_change_pct FROM rows"""
+)
+def q_backtest_agg(spark, d):
+    found = asof.backtest_summary(asof.backtest(*purchases(spark, d), 7))
+    return found.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in found.dtypes])
+
+
+@registered(
+    "WITH "
+    + PURCHASES.format(search=7, end=14)
+    + "SELECT event_key, ticker, CAST(d AS VARCHAR) AS event_date, status, CAST(d0 AS VARCHAR) AS entry_date, CAST(d1 AS VARCHAR) AS exit_date, round(change_pct, 6) AS change_pct FROM rows"
+)
+def q_backtest_rows(spark, d):
+    rows = asof.backtest(*purchases(spark, d), 7)
+    return rows.select("event_key", "ticker", day("event_date").alias("event_date"), "status", day("entry.date").alias("entry_date"), day("exit.date").alias("exit_date"), F.round("change_pct", 6).alias("change_pct"))
+
+
+@registered(
+    "WITH "
+    + PURCHASES.format(search=7, end=14)
+    + "SELECT count(*) AS events_total, count(*) FILTER (status = 'ok') AS events_ok, count(*) FILTER (status <> 'ok') AS events_skipped, round(avg(change_pct), 6) AS mean_change_pct, round(median(change_pct), 6) AS median_change_pct FROM rows"
+)
+def q_event_returns(spark, d):
+    found = asof.return_summary(asof.event_returns(*purchases(spark, d), 7))
+    return found.select("events_total", "events_ok", "events_skipped", F.round("mean_change_pct", 6).alias("mean_change_pct"), F.round("median_change_pct", 6).alias("median_change_pct"))
+
+
+@registered(
+    "WITH "
+    + PURCHASES.format(search=0, end=7)
+    + """SELECT event_key, ticker, h0 AS hit, CASE WHEN NOT h0 THEN 'entry price unavailable: no price' || CASE WHEN ticker IN (SELECT ticker FROM px)
+    THEN ' for ''' || ticker || ''' on ' || CAST(d AS VARCHAR) ELSE 's supplied for ticker ''' || ticker || '''' END END AS reason FROM rows"""
+)
+def q_asof_exact(spark, d):
+    rows = asof.backtest(*purchases(spark, d), 7, search_days=0)
+    hit = F.col("entry").isNotNull()
+    return rows.select("event_key", "ticker", hit.alias("hit"), F.when(~hit, F.col("reason")).alias("reason"))
+
+
+# --- listings and filters
+
+
+@registered("""SELECT o_orderkey, c_name, c_mktsegment, o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_mktsegment = 'BUILDING' AND o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' AND lower(c_name) LIKE '%00%'
+    ORDER BY o_orderdate DESC NULLS LAST, o_orderkey LIMIT 50""")
+def q_trades_filtered(spark, d):
+    orders = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    parts = [filters.equals("o_orderstatus", "f", "upper"), filters.equals("c_mktsegment", "building", "upper"), filters.contains("c_name", "00"), filters.equals("o_orderpriority", None)]
+    parts.append(filters.between(F.col("o_orderdate").cast("date"), "1996-01-01", "1998-12-31"))
+    return filters.listing(orders, parts, ["-o_orderdate", "o_orderkey"]).select("o_orderkey", "c_name", "c_mktsegment", "o_orderstatus", "o_totalprice", day("o_orderdate").alias("order_date"))
+
+
+@registered("""SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linestatus = 'F'
+    AND l_quantity * l_extendedprice >= 1500000 ORDER BY l_shipdate DESC, l_orderkey, l_linenumber LIMIT 500""")
+def q_insider_min_value(spark, d):
+    parts = [filters.one_of("l_returnflag", ["a", "r"]), filters.equals("l_linestatus", "F"), filters.product_at_least("l_quantity", "l_extendedprice", 1_500_000)]
+    found = filters.listing(table(spark, d, "lineitem"), parts, ["-l_shipdate", "l_orderkey", "l_linenumber"], 900)
+    return found.select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice")
+
+
+@registered("""SELECT o_orderkey, count(*) AS brands FROM (SELECT o_orderkey, list(DISTINCT p_brand) AS tags FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1)
+    , unnest(tags) WHERE list_contains(tags, 'Brand#23') GROUP BY 1""")
+def q_tag_containment(spark, d):
+    tags = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set("p_brand").alias("tags"))
+    return filters.where(tags, filters.has("tags", "Brand#23", None)).select("o_orderkey", F.size("tags").cast("long").alias("brands"))
+
+
+@registered("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) BETWEEN 40 AND 60")
+def q_json_prop_filter(spark, d):
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    return filters.where(table(spark, d, "events").select("event_id", k.alias("k")), filters.between("k", 40, 60))
+
+
+@registered("SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE lower(d.text) LIKE '%all rights%' OR lower(d.text) LIKE '%license%'")
+def q_doc_search(spark, d):
+    docs = filters.where(table(spark, d, "documents"), filters.any_of(filters.contains("text", "All Rights"), filters.contains("text", "license")))
+    return docs.join(table(spark, d, "labels"), "doc_id", "left").select("doc_id", "lang", "quality")
+
+
+# --- aggregates
+
+
+@registered("""SELECT c_custkey, c_name, c_mktsegment, count(*) AS orders, CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS last_date FROM orders JOIN customer ON o_custkey = c_custkey
+    GROUP BY ALL ORDER BY orders DESC, c_name LIMIT 50""")
+def q_members_by_activity(spark, d):
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    found = aggregates.activity(rows, ["c_custkey", "c_name", "c_mktsegment"], "o_orderdate", "c_name", "orders", 50)
+    return found.withColumn("last_date", day("last_date"))
+
+
+@registered("""SELECT l_returnflag AS code, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS shares, CAST(sum(CAST(l_quantity * l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value
+    FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1""")
+def q_insider_code_summary(spark, d):
+    return aggregates.code_breakdown(table(spark, d, "lineitem").where("l_linestatus = 'F'"), "l_returnflag", "l_quantity", "l_extendedprice")
+
+
+@registered("""SELECT CAST(sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS bought, CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS sold,
+    CAST(sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(18,2)) WHEN l_returnflag = 'R' THEN -CAST(l_quantity AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS net FROM lineitem""")
+def q_open_market_net(spark, d):
+    return aggregates.open_market(table(spark, d, "lineitem"), "l_returnflag", "l_quantity", "A", "R")
+
+
+@registered("""SELECT s_name, n_name, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+    GROUP BY 1, 2 ORDER BY total_value DESC, s_name, n_name LIMIT 10""")
+def q_notable_insiders(spark, d):
+    rows = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return filters.top_groups(rows, ["s_name", "n_name"], [money(F.col("l_extendedprice")).alias("total_value")], ["-total_value"], 10)
+
+
+def _positions(spark, d) -> DataFrame:
+    quarter = F.last_day(F.date_add(F.trunc(F.col("l_shipdate").cast("date"), "quarter"), 62))
+    lines = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("put_call"), quarter.alias("period_end"), "l_quantity", "l_extendedprice")
+    return lines.join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+POSITIONS = """pos AS (SELECT l_suppkey, s_name, l_partkey, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS put_call,
+    last_day(date_trunc('quarter', l_shipdate) + INTERVAL 62 DAY) AS period_end, l_quantity, l_extendedprice FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
+
+
+@registered("WITH " + POSITIONS + " SELECT CAST(max(period_end) AS VARCHAR) AS period_end FROM pos")
+def q_latest_period(spark, d):
+    return aggregates.periods(_positions(spark, d), "period_end").select(day("latest").alias("period_end"))
+
+
+@registered("WITH " + POSITIONS + " SELECT CAST(max(period_end) AS VARCHAR) AS prior_period_end FROM pos WHERE period_end < (SELECT max(period_end) FROM pos)")
+def q_prior_period(spark, d):
+    return aggregates.periods(_positions(spark, d), "period_end").select(day("prior").alias("prior_period_end"))
+
+
+@registered(
+    "WITH "
+    + POSITIONS
+    + """, c AS (SELECT l_suppkey, s_name, l_partkey, put_call, period_end, sum(CAST(l_quantity AS DECIMAL(18,2))) AS shares, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v FROM pos WHERE period_end = DATE '1998-06-30' GROUP BY ALL),
+    p AS (SELECT l_suppkey, l_partkey, put_call, sum(CAST(l_quantity AS DECIMAL(18,2))) AS shares FROM pos WHERE period_end = DATE '1998-03-31' GROUP BY ALL)
+    SELECT c.l_suppkey, c.s_name, c.l_partkey, c.put_call, CAST(c.period_end AS VARCHAR) AS period_end, CAST(c.shares AS DOUBLE) AS shares, CAST(c.v AS DOUBLE) AS value_usd, CAST(p.shares AS DOUBLE) AS shares_prior, CAST(c.shares - p.shares AS DOUBLE) AS shares_change
+    FROM c LEFT JOIN p ON c.l_suppkey = p.l_suppkey AND c.l_partkey = p.l_partkey AND c.put_call IS NOT DISTINCT FROM p.put_call"""
+)
+def q_13f_holders_delta(spark, d):
+    found = joins.period_change(_positions(spark, d), ["l_suppkey", "l_partkey", "put_call"], ["s_name"], "period_end", "l_quantity", "l_extendedprice", "1998-06-30")
+    return found.withColumn("period_end", day("period_end"))
+
+
+@registered(
+    "WITH "
+    + POSITIONS
+    + """, m AS (SELECT l_suppkey FROM pos WHERE lower(s_name) LIKE '%00001%' GROUP BY l_suppkey, s_name ORDER BY count(*) DESC, l_suppkey, s_name LIMIT 1)
+    SELECT l_suppkey, s_name, l_partkey, put_call, CAST(period_end AS VARCHAR) AS period_end, l_quantity, l_extendedprice FROM pos WHERE l_suppkey IN (SELECT * FROM m)
+    AND period_end = (SELECT max(period_end) FROM pos WHERE l_suppkey IN (SELECT * FROM m)) ORDER BY l_extendedprice DESC, l_partkey, l_quantity LIMIT 500"""
+)
+def q_13f_manager_holdings(spark, d):
+    found = joins.manager_holdings(_positions(spark, d), "00001", ["l_suppkey", "s_name"], "period_end", ["-l_extendedprice", "l_partkey", "l_quantity"], 500)
+    return found.select("l_suppkey", "s_name", "l_partkey", "put_call", day("period_end").alias("period_end"), "l_quantity", "l_extendedprice")
+
+
+def _award_sql(period: str) -> str:
+    return f"""SELECT {period} AS period, count(*) AS awards, CAST(sum(CAST(coalesce(o_totalprice, 0) AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE lower(n_name) LIKE '%a%' GROUP BY 1 ORDER BY 1 DESC LIMIT 40"""
+
+
+def _awards(spark, d) -> DataFrame:
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return filters.where(rows, filters.contains("n_name", "A"))
+
+
+@registered(_award_sql("year(o_orderdate) || '-Q' || quarter(o_orderdate)"))
+def q_award_totals_quarter(spark, d):
+    return aggregates.award_totals(_awards(spark, d), "o_orderdate", "o_totalprice", "quarter", 40)
+
+
+@registered(_award_sql("CAST(year(o_orderdate) AS VARCHAR)"))
+def q_award_totals_year(spark, d):
+    return aggregates.award_totals(_awards(spark, d), "o_orderdate", "o_totalprice", "year", 40)
+
+
+@registered("""SELECT n_name, c_custkey, c_name, min(c_acctbal) AS rank, max(c_mktsegment) AS title, count(o_orderkey) AS trades, CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS last_date
+    FROM nation JOIN customer ON n_nationkey = c_nationkey LEFT JOIN orders ON o_custkey = c_custkey WHERE lower(n_name) LIKE '%ger%' GROUP BY 1, 2, 3""")
+def q_committee_roster(spark, d):
+    seats = filters.where(table(spark, d, "nation"), filters.contains("n_name", "ger")).join(table(spark, d, "customer"), F.col("n_nationkey") == F.col("c_nationkey"))
+    trades = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderdate")
+    found = joins.roster(seats, trades, ["n_name", "c_custkey", "c_name"], "c_custkey", F.min("c_acctbal").alias("rank"), F.max("c_mktsegment").alias("title"), "o_orderdate")
+    return found.withColumn("last_date", day("last_date"))
+
+
+@registered("""SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'O') AS buys, count(*) FILTER (o_orderstatus = 'F') AS sells, CAST(CAST(min(o_orderdate) AS DATE) AS VARCHAR) AS first_date, CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS last_date
+    FROM orders WHERE o_custkey = 37""")
+def q_member_profile_stats(spark, d):
+    found = aggregates.trade_stats(table(spark, d, "orders").where("o_custkey = 37"), "o_orderstatus", "o_orderdate", "O", "F")
+    return found.withColumn("first_date", day("first_date")).withColumn("last_date", day("last_date"))
+
+
+@registered("SELECT l_partkey, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey = 37 AND l_partkey IS NOT NULL GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 10")
+def q_member_top_parts(spark, d):
+    rows = table(spark, d, "orders").where("o_custkey = 37").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return filters.top_groups(rows.where("l_partkey is not null"), ["l_partkey"], [F.count("*").alias("n")], ["-n"], 10)
+
+
+@registered("SELECT o_orderkey, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date FROM orders WHERE o_custkey = 37 ORDER BY o_orderdate DESC, o_orderkey LIMIT 10")
+def q_member_recent(spark, d):
+    return filters.listing(table(spark, d, "orders"), [F.col("o_custkey") == 37], ["-o_orderdate", "o_orderkey"], 10).select("o_orderkey", "o_totalprice", day("o_orderdate").alias("order_date"))
+
+
+@registered("""WITH k AS (SELECT 'customer' AS kind, c_name AS name, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE lower(c_name) LIKE '%0012%' GROUP BY c_name
+    UNION ALL SELECT 'supplier', s_name, count(l_orderkey) FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey WHERE lower(s_name) LIKE '%0012%' GROUP BY s_name
+    UNION ALL SELECT 'part', p_name, count(l_orderkey) FROM part LEFT JOIN lineitem ON p_partkey = l_partkey WHERE lower(p_name) LIKE '%0012%' GROUP BY p_name)
+    SELECT kind, name, n FROM k WHERE n > 0""")
+def q_entity_search(spark, d):
+    line = table(spark, d, "lineitem")
+    kinds = {
+        "customer": (table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("name")), table(spark, d, "orders"), "c_custkey", "o_custkey"),
+        "supplier": (table(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("name")), line, "s_suppkey", "l_suppkey"),
+        "part": (table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name")), line, "p_partkey", "l_partkey"),
+    }
+    return joins.entity_search(kinds, "0012")
+
+
+@registered("""WITH t AS (SELECT 'orders' AS dataset, count(*) AS n, max(o_orderdate) AS m, 24 AS w FROM orders UNION ALL SELECT 'lineitem', count(*), max(l_shipdate), 1000000 FROM lineitem UNION ALL SELECT 'events', count(*), max(ts), 72 FROM events)
+    SELECT dataset, n AS row_count, round(epoch(TIMESTAMP '2024-02-01 00:00:00' - m) / 3600, 1) AS age_hours, epoch(TIMESTAMP '2024-02-01 00:00:00' - m) / 3600 > w AS stale FROM t""")
+def q_freshness(spark, d):
+    tables = {"orders": ("o_orderdate", 24), "lineitem": ("l_shipdate", 1_000_000), "events": ("ts", 72)}
+    found = aggregates.freshness({n: (table(spark, d, n), c, w) for n, (c, w) in tables.items()}, "2024-02-01 00:00:00")
+    return found.select("dataset", "row_count", "age_hours", "stale")
+
+
+@registered("""SELECT o_orderkey, count(l_orderkey) AS lines, arg_min(l_partkey, l_linenumber) FILTER (l_returnflag = 'R') AS first_returned FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
+def q_min_by_sequence(spark, d):
+    firsts = aggregates.first_by_sequence(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", F.col("l_returnflag") == "R")
+    joined = table(spark, d, "orders").join(firsts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return joined.select("o_orderkey", F.coalesce("n", F.lit(0)).alias("lines"), F.col("first").alias("first_returned"))
+
+
+@registered("SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_returnflag, l_linenumber, l_partkey, l_suppkey) - 1 AS idx, l_linestatus FROM lineitem")
+def q_row_index(spark, d):
+    return joins.row_index(table(spark, d, "lineitem"), ["l_orderkey", "l_linestatus"], ["l_returnflag", "l_linenumber", "l_partkey", "l_suppkey"]).select("l_orderkey", "l_linenumber", "idx", "l_linestatus")
+
+
+@registered("""SELECT nation, cls, count(*) AS n FROM (SELECT CASE WHEN c_acctbal < 0 THEN 'debt' WHEN c_acctbal < 5000 THEN 'low' ELSE 'high' END AS cls, n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey) GROUP BY 1, 2""")
+def q_amount_bands(spark, d):
+    rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.groupBy(F.col("n_name").alias("nation"), aggregates.band(F.col("c_acctbal"), [("debt", 0), ("low", 5000)], "high").alias("cls")).agg(F.count("*").alias("n"))
+
+
+# --- windows, feeds and snapshots
+
+
+@registered("""WITH u AS (SELECT user_id FROM events GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 20)
+    SELECT user_id, event_id, CAST(rn AS BIGINT) AS rn FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE user_id IN (SELECT user_id FROM u)) WHERE rn <= 3""")
+def q_top_n_per_entity(spark, d):
+    found = feeds.entity_items(table(spark, d, "events"), "user_id", "ts", "event_id", per_entity=3, entities=20)
+    return found.select("user_id", "event_id", F.col("rn").cast("long").alias("rn"))
+
+
+@registered("SELECT event_id, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 100")
+def q_newest_feed(spark, d):
+    return feeds.newest(table(spark, d, "events"), "ts", "event_id").select("event_id", "user_id", "event_type")
+
+
+@registered("SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events")
+def q_ingestion_days(spark, d):
+    return store.ingestion_days(table(spark, d, "events"), "ts").select(day("day").alias("day"))
+
+
+@registered("SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'")
+def q_delta_for_day(spark, d):
+    return store.ingested_on(table(spark, d, "events"), "ts", "2024-01-15").select("event_id", "event_type")
+
+
+@registered("SELECT CAST(year(o_orderdate) AS VARCHAR) AS shard, count(*) AS n FROM orders GROUP BY 1")
+def q_year_shards(spark, d):
+    return store.shard_counts(table(spark, d, "orders"), F.col("o_orderdate"))
+
+
+@registered("""SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS balance, CASE WHEN c_custkey % 10 = 0 THEN 2 ELSE 1 END AS version FROM customer""")
+def q_upsert_last_wins(spark, d):
+    old = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"), F.lit(1).alias("version"))
+    new = old.where("id % 10 = 0").select("id", (F.col("balance") + 1).alias("balance"), F.lit(2).alias("version"))
+    stale = new.select("id", (F.col("balance") - 5).alias("balance"), F.lit(0).alias("version"))
+    return store.upsert(old, stale.unionByName(new), ["id"], ["version"])
+
+
+@registered("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+def q_left_anti_new_ids(spark, d):
+    known = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return store.new_ids(table(spark, d, "customer"), known, "c_custkey").select("c_custkey")
+
+
+@registered("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def q_existing_ids(spark, d):
+    return store.existing_ids(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+
+
+@registered("SELECT c_custkey, n_name AS nation, c_custkey % 3 = 0 AS filled FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def q_unresolved_fill(spark, d):
+    named = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = named.select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 3 != 0, F.col("n_name")).alias("nation"))
+    known = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
+    filled = store.fill_missing(rows, known, "c_nationkey", "nation")
+    return filled.select("c_custkey", "nation", "filled")
+
+
+@registered("""WITH r AS (SELECT event_type, user_id, max(CASE WHEN value > 99 THEN 2 WHEN value > 95 THEN 1 ELSE 0 END) AS worst FROM events GROUP BY 1, 2)
+    SELECT event_type, CASE max(worst) WHEN 2 THEN 'red' WHEN 1 THEN 'amber' ELSE 'green' END AS status FROM r GROUP BY 1""")
+def q_status_rollup(spark, d):
+    status = F.when(F.col("value") > 99, "red").when(F.col("value") > 95, "amber").otherwise("green")
+    return aggregates.worst_status(table(spark, d, "events").select("event_type", status.alias("status")), ["event_type"])
+
+
+@registered("""WITH p AS (SELECT CAST(ts AS DATE) AS d, user_id, count(*) AS n, count(*) FILTER (event_type = 'click') AS c FROM events GROUP BY 1, 2)
+    SELECT CAST(d AS VARCHAR) AS day, user_id, c AS clicks, n AS total, CASE WHEN n > 0 THEN round(c / n, 6) END AS ratio FROM p""")
+def q_short_ratio(spark, d):
+    days = table(spark, d, "events").groupBy(day("ts").alias("day"), "user_id").agg(F.count_if(F.col("event_type") == "click").alias("clicks"), F.count("*").alias("total"))
+    return days.withColumn("ratio", S.short_ratio(F.col("clicks"), F.col("total")))
+
+
+@registered("""WITH days AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-14', INTERVAL 1 DAY))::DATE AS d), u AS (SELECT DISTINCT user_id FROM events WHERE user_id < 40),
+    e AS (SELECT CAST(ts AS DATE) AS d, user_id, count(*) AS n FROM events GROUP BY 1, 2)
+    SELECT CAST(days.d AS VARCHAR) AS day, u.user_id, coalesce(e.n, 0) AS n FROM days, u LEFT JOIN e ON e.d = days.d AND e.user_id = u.user_id WHERE isodow(days.d) < 6""")
+def q_series_gap_fill(spark, d):
+    events = table(spark, d, "events").where("user_id < 40").select("user_id", F.col("ts").cast("date").alias("day"))
+    return joins.gap_filled(events, ["user_id"], "day", "2024-01-01", "2024-01-14", weekdays_only=True).select(day("day").alias("day"), "user_id", "n")
+
+
+@registered("""SELECT event_id, event_type || ' by ' || user_id || CASE WHEN value > 50 THEN ': ' || CASE WHEN value = floor(value) THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) ELSE 'part' END ELSE '' END AS title FROM events""")
+def q_title_render(spark, d):
+    whole = F.when(F.col("value") == F.floor("value"), S.plain_number(F.col("value"))).otherwise("part")
+    title = feeds.titled(F.col("event_type"), " by ", F.col("user_id").cast("string"), F.when(F.col("value") > 50, F.concat(F.lit(": "), whole)))
+    return table(spark, d, "events").select("event_id", title.alias("title"))
+
+
+@registered("SELECT user_id, substr(sha256(string_agg(event_type, '|' ORDER BY event_type)), 1, 16) AS fingerprint FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY 1")
+def q_fingerprint(spark, d):
+    return table(spark, d, "events").groupBy("user_id").agg(S.fingerprint(F.collect_set("event_type")).alias("fingerprint"))
+
+
+@registered("""WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'A')
+    SELECT 'both' AS part, count(*) AS n FROM (SELECT k FROM a INTERSECT SELECT k FROM b) UNION ALL SELECT 'first only', count(*) FROM (SELECT k FROM a EXCEPT SELECT k FROM b)
+    UNION ALL SELECT 'union', count(*) FROM (SELECT k FROM a UNION SELECT k FROM b) UNION ALL SELECT 'all', count(*) FROM (SELECT k FROM a UNION ALL SELECT k FROM b)""")
+def q_set_ops(spark, d):
+    line = table(spark, d, "lineitem")
+    side = lambda flag: line.where(F.col("l_returnflag") == flag).select(F.col("l_partkey").alias("k")).distinct()
+    return joins.set_sizes(side("R"), side("A"))
+
+
+# --- text
+
+
+@registered("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'ACME AND SONS' WHEN 1 THEN 'ACME' WHEN 2 THEN 'INC' WHEN 3 THEN 'ACME HOLDINGS' WHEN 4 THEN 'ACME' ELSE 'ACME INTL' END || ' ' || p_partkey AS name FROM part""")
+def q_name_normalize(spark, d):
+    raw = ["Acme & Sons {}, Inc.", "Acme {} Corp. Co", "Inc {}", "Acme Holdings {} PLC /DE/", "ACME  {} Inc Class A", "Acme (Intl) {} LLC"]
+    text = F.element_at(F.array(*map(F.lit, raw)), (F.col("p_partkey") % 6 + 1).cast("int"))
+    return table(spark, d, "part").select("p_partkey", S.entity_name(F.replace(text, F.lit("{}"), F.col("p_partkey").cast("string"))).alias("name"))
+
+
+@registered("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 1001 WHEN 1 THEN 50000000 WHEN 2 THEN 0 WHEN 3 THEN 15000 WHEN 4 THEN NULL ELSE o_orderkey END::DOUBLE AS low,
+    CASE o_orderkey % 6 WHEN 0 THEN 15000 WHEN 1 THEN NULL WHEN 2 THEN 1000 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE o_orderkey + 5 END::DOUBLE AS high FROM orders""")
+def q_amount_range_parse(spark, d):
+    key = F.col("o_orderkey")
+    texts = ["$1,001 - $15,000", "Over $50,000,000", "None (or less than $1,001)", "$15,000 +", "$9 - $3", None]
+    spoken = F.concat(F.lit("$"), key.cast("string"), F.lit(" – $"), (key + 5).cast("string"))
+    text = F.coalesce(F.element_at(F.array(*map(F.lit, texts)), (key % 6 + 1).cast("int")), spoken)
+    found = table(spark, d, "orders").select("o_orderkey", S.amount_range(text).alias("r"))
+    return found.select("o_orderkey", F.col("r.min").alias("low"), F.col("r.max").alias("high"))
+
+
+@registered("""SELECT o_orderkey, 'hr' || (o_orderkey % 100000) AS first_ref, 3 AS refs FROM orders""")
+def q_bill_refs(spark, d):
+    n = (F.col("o_orderkey") % 100000).cast("string")
+    text = F.concat(F.lit("Support H.R. "), n, F.lit(" and S.12, oppose HR "), n, F.lit("; also S.Con.Res. 7, not hr 9 or HR12 or THR 5."))
+    found = table(spark, d, "orders").select("o_orderkey", S.bill_references(text).alias("refs"))
+    return found.select("o_orderkey", F.get("refs", F.lit(0)).alias("first_ref"), F.size("refs").alias("refs"))
+
+
+@registered("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS slash, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS compact, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS month_first, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS oracle FROM orders""")
+def q_date_parse(spark, d):
+    as_text = lambda f: F.date_format("o_orderdate", f)
+    return table(spark, d, "orders").select(
+        "o_orderkey",
+        S.slash_date(as_text("M/d/yyyy")).cast("string").alias("slash"),
+        S.any_date(as_text("yyyyMMdd")).cast("string").alias("compact"),
+        S.month_first_date(as_text("MMddyyyy")).cast("string").alias("month_first"),
+        S.any_date(as_text("dd-MMM-yyyy")).cast("string").alias("oracle"),
+    )
+
+
+@registered("SELECT page_id, nullif(regexp_replace(regexp_replace(regexp_replace(trim(url), '^https?://[^/]+', '', 'i'), '[.]html?$', '', 'i'), '^/*(newsevents/)?', ''), '') AS id FROM pages")
+def q_page_ids(spark, d):
+    return table(spark, d, "pages").select("page_id", S.link_id(F.col("url")).alias("id"))
+
+
+@registered()
+def stream_late_dedupe(spark, d):
+    return incremental.replayed(spark, f"{d}/events.parquet")
+
+
+@registered("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def q_daily_delta_counts(spark, d):
+    return table(spark, d, "events").groupBy(day("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
+
+
+@registered("""SELECT user_id, CAST(max(n) AS BIGINT) AS most_in_an_hour FROM (SELECT user_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 3599 SECONDS PRECEDING AND CURRENT ROW) AS n FROM events) GROUP BY 1""")
+def q_rolling_grants(spark, d):
+    events = table(spark, d, "events").select("user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"))
+    window = Window.partitionBy("user_id").orderBy("s").rangeBetween(-3599, 0)
+    return events.withColumn("n", F.count("*").over(window)).groupBy("user_id").agg(F.max("n").alias("most_in_an_hour"))
