@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +28,8 @@ MAGIC = b"DLTOKEN1"
 BLOCK_IDS = 8192
 TAIL = np.dtype([("bits", "<u4"), ("block_ids", "<u4"), ("n_docs", "<u8"), ("n_ids", "<u8"), ("n_blocks", "<u8"), ("index_at", "<u8")])
 END_ID = 2
-#: Words whose ids a worker keeps; the store starts anew when it is full.
-CACHED_WORDS = 300_000
+#: Words whose ids a worker keeps (some 250 MB); the store starts anew when it is full.
+CACHED_WORDS = 1_500_000
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -157,7 +158,7 @@ class WordTokenizer:
                 self.known.clear()
                 new = list(set(words))
             for w, found in zip(new, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False), strict=True):
-                self.known[w] = np.asarray(found.ids, "<u4").tobytes()
+                self.known[w] = array("I", found.ids).tobytes()
         return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
 
 
