@@ -241,9 +241,9 @@ def q_award_totals_year(spark, d):
 
 
 @registered("""SELECT n_name, c_custkey, c_name, min(c_acctbal) AS rank, max(c_mktsegment) AS title, count(o_orderkey) AS trades, CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS last_date
-    FROM nation JOIN customer ON n_nationkey = c_nationkey LEFT JOIN orders ON o_custkey = c_custkey WHERE lower(n_name) LIKE '%ger%' GROUP BY 1, 2, 3""")
+    FROM nation JOIN customer ON n_nationkey = c_nationkey LEFT JOIN orders ON o_custkey = c_custkey WHERE lower(n_name) LIKE '%nation_1%' GROUP BY 1, 2, 3""")
 def q_committee_roster(spark, d):
-    seats = filters.where(table(spark, d, "nation"), filters.contains("n_name", "ger")).join(table(spark, d, "customer"), F.col("n_nationkey") == F.col("c_nationkey"))
+    seats = filters.where(table(spark, d, "nation"), filters.contains("n_name", "Nation_1")).join(table(spark, d, "customer"), F.col("n_nationkey") == F.col("c_nationkey"))
     trades = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderdate")
     found = joins.roster(seats, trades, ["n_name", "c_custkey", "c_name"], "c_custkey", F.min("c_acctbal").alias("rank"), F.max("c_mktsegment").alias("title"), "o_orderdate")
     return found.withColumn("last_date", day("last_date"))
@@ -345,9 +345,9 @@ def q_upsert_last_wins(spark, d):
     return store.upsert(old, stale.unionByName(new), ["id"], ["version"])
 
 
-@registered("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@registered("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '2001-01-01')")
 def q_left_anti_new_ids(spark, d):
-    known = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    known = table(spark, d, "orders").where("o_orderdate >= '2001-01-01'").select(F.col("o_custkey").alias("c_custkey"))
     return store.new_ids(table(spark, d, "customer"), known, "c_custkey").select("c_custkey")
 
 
