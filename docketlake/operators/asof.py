@@ -43,9 +43,9 @@ def lookup(events: DataFrame, prices: DataFrame, legs: dict[str, Column], search
 
 
 def _reason(what: str, leg: str, day: Column, search_days: int) -> Column:
-    ticker = F.concat(F.lit("'"), F.upper("ticker"), F.lit("'"))
+    ticker = F.concat(F.lit("'"), F.coalesce(F.upper("ticker"), F.lit("")), F.lit("'"))
     tail = f" or within {search_days} day(s) after" if search_days > 0 else ""
-    missing = F.concat(F.lit("no price for "), ticker, F.lit(" on "), day.cast("string"), F.lit(tail))
+    missing = F.concat(F.lit("no price for "), ticker, F.lit(" on "), F.coalesce(day.cast("string"), F.lit("no day")), F.lit(tail))
     unknown = F.concat(F.lit("no prices supplied for ticker "), ticker)
     return F.concat(F.lit(f"{what} price unavailable: "), F.when(F.col("known"), missing).otherwise(unknown))
 

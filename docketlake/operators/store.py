@@ -185,8 +185,11 @@ def write_snapshot(df: DataFrame, path: str, event: Column, key: str = "id", mos
 
 
 def read_dump(spark: SparkSession, paths: Sequence[str], schema: str, key: str = "id") -> DataFrame:
-    """Rows of dump files (arrays or lines of JSON); for an id in several files the later file by name wins."""
-    rows = spark.read.schema(schema).option("multiLine", "true").json(list(paths)).withColumn("_file", F.input_file_name())
+    """Rows of dump files; for an id in several files the later file by name wins.
+
+    A line is an object or an array of objects, so single-line arrays and JSON lines both read.
+    """
+    rows = spark.read.schema(schema).json(list(paths)).withColumn("_file", F.input_file_name())
     columns = [c for c in rows.columns if c not in (key, "_file")]
     return rows.groupBy(key).agg(F.max_by(F.struct(*columns), "_file").alias("_r")).select(key, "_r.*")
 

@@ -289,7 +289,7 @@ def q_freshness(spark, d):
     return found.select("dataset", "row_count", "age_hours", "stale")
 
 
-@registered("""SELECT o_orderkey, count(l_orderkey) AS lines, arg_min(l_partkey, l_linenumber) FILTER (l_returnflag = 'R') AS first_returned FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
+@registered("""SELECT o_orderkey, count(l_orderkey) AS lines, arg_min(l_partkey, l_linenumber::BIGINT * 1000000000 + l_partkey) FILTER (l_returnflag = 'R') AS first_returned FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
 def q_min_by_sequence(spark, d):
     firsts = aggregates.first_by_sequence(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", F.col("l_returnflag") == "R")
     joined = table(spark, d, "orders").join(firsts, F.col("o_orderkey") == F.col("l_orderkey"), "left")

@@ -25,16 +25,21 @@ primaryCompletionDateStruct:struct<date:string>,lastUpdatePostDateStruct:struct<
 conditionsModule:struct<conditions:array<string>>>>>"""
 APPLICATIONS = """results array<struct<application_number:string,sponsor_name:string,openfda:struct<brand_name:array<string>>,
 submissions:array<struct<submission_type:string,submission_number:string,submission_status:string,submission_status_date:string>>>>"""
-POSITIONS = "report_date_as_yyyy_mm_dd string, cftc_contract_market_code string, market_and_exchange_names string, " + ", ".join(f"{c} string" for c in COUNT_FIELDS.values())
+POSITIONS = "report_date_as_yyyy_mm_dd:string,cftc_contract_market_code:string,market_and_exchange_names:string," + ",".join(f"{c}:string" for c in COUNT_FIELDS.values())
 VIEWS = "items array<struct<project:string,article:string,timestamp:string,views:string>>"
-ITEMS = "d string, t string, pt string, l string, s string, lo string, v string, a string"
+ITEMS = "d:string,t:string,pt:string,l:string,s:string,lo:string,v:string,a:string"
 
 
 def pages(spark: SparkSession, path: str, ddl: str, field: str | None = None) -> DataFrame:
-    """Objects of JSON files; with ``field``, the elements of that array. A byte order mark does no harm."""
-    df = spark.read.schema(ddl.replace("\n", "")).option("multiLine", "true").option("encoding", "UTF-8").json(path)
-    named = df.withColumn("file", F.col("_metadata.file_path"))
-    return named if field is None else named.select("file", F.explode(field).alias("r")).select("file", "r.*")
+    """Objects of JSON files; with ``field``, the elements of that array.
+
+    A file without ``field`` is an array of objects; a byte order mark does no harm.
+    """
+    if field is None:
+        texts = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\\x{FEFF}", "").alias("value"))
+        return texts.select("file", F.explode(F.from_json("value", f"array<struct<{ddl}>>")).alias("r")).select("file", "r.*")
+    df = spark.read.schema(ddl.replace("\n", "")).option("multiLine", "true").json(path)
+    return df.select(F.col("_metadata.file_path").alias("file"), F.explode(field).alias("r")).select("file", "r.*")
 
 
 def no_tickers() -> Column:
