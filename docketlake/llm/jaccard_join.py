@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketlake.llm import textvec
-from docketlake.llm.common import read, small_batches, written
+from docketlake.llm.common import WORD, read, small_batches, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Hash functions of a signature, and how many of them give tokens for paths.
@@ -322,3 +322,27 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(read(spark, sf_dir, "documents"))
+
+
+ORACLE = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(ws) >= {SHINGLE} THEN list_sort(list_distinct(list_transform(range(1, len(ws) - {SHINGLE - 2}), lambda i: array_to_string(ws[i:i + {SHINGLE - 1}], ' '))))
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ') || ' '] ELSE [] END AS sh FROM d
+), c AS (
+    SELECT md5(array_to_string(sh, chr(10))) AS fp, min(doc_id) AS rep, count(*) AS copies, any_value(sh) AS sh FROM s GROUP BY 1
+), x AS MATERIALIZED (
+    SELECT fp, len(sh) AS n, unnest(sh) AS g FROM c
+), e AS MATERIALIZED (
+    SELECT a.fp AS u, b.fp AS v FROM x a JOIN x b ON a.g = b.g AND a.fp <> b.fp GROUP BY a.fp, b.fp, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))
+), r AS (
+    SELECT fp AS u, fp AS v FROM c UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u
+), k AS (
+    SELECT r.u AS fp, min(c.rep) AS class_id FROM r JOIN c ON r.v = c.fp GROUP BY 1
+), l AS (
+    SELECT u AS fp, count(*) AS n_links FROM e GROUP BY 1
+)
+SELECT s.doc_id, k.class_id, coalesce(l.n_links, 0) AS n_links, c.copies - 1 AS n_copies
+FROM s JOIN c ON md5(array_to_string(s.sh, chr(10))) = c.fp JOIN k ON k.fp = c.fp LEFT JOIN l ON l.fp = c.fp
+"""

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import bind, read, words, written
+from docketlake.llm.common import WORD, bind, read, words, written
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -195,4 +195,64 @@ def filter_rejected(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality", *[c for c in found.columns if c.startswith("vote_")])
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"), *[c for c in found.columns if c.startswith("vote_")])
+
+
+def _oracle(rounds: int = 25, smooth: float = 1.0) -> str:
+    """The measures, the votes and the rounds of expectation-maximisation, a pair of common tables for each round."""
+    votes = {
+        "symbols": "CASE WHEN symbols > 0.2 THEN -1 ELSE 0 END",
+        "repeats": "CASE WHEN repeats > 0.45 THEN -1 ELSE 0 END",
+        "lines": "CASE WHEN lines > 0.3 AND n_dup_lines >= 3 THEN -1 ELSE 0 END",
+        "capitals": "CASE WHEN capitals > 0.3 THEN -1 ELSE 0 END",
+        "marks": "CASE WHEN marks > 0.2 THEN -1 ELSE 0 END",
+        "length": "CASE WHEN length < 2.5 OR length > 15 THEN -1 WHEN length BETWEEN 3.5 AND 11 THEN 1 ELSE 0 END",
+        "variety": "CASE WHEN variety < 0.2 AND n_words < 2000 THEN -1 WHEN variety >= 0.35 THEN 1 ELSE 0 END",
+    }
+    names, (low, high) = list(votes), PRIOR
+    any_bad = " OR ".join(f"vote_{n} = -1" for n in names)
+    steps = [f"p0 AS MATERIALIZED (SELECT *, CASE WHEN {any_bad} THEN 0.1::DOUBLE ELSE 0.9::DOUBLE END AS p FROM pat)"]
+    for k in range(rounds):
+        rates = []
+        for n in names:
+            for v, tag in ((1, "up"), (-1, "down")):
+                good = f"((sum(p * n) FILTER (vote_{n} = {v}))::DOUBLE)"
+                bad = f"((sum((1 - p) * n) FILTER (vote_{n} = {v}))::DOUBLE)"
+                top = f"(coalesce({good}, 0) + {smooth / 4}) / (sum(p * n) + {smooth})"
+                top = f"least({top}, {ALARM})" if v == -1 else top
+                rates.append(f"ln(({top}) / ((coalesce({bad}, 0) + {smooth / 4}) / (sum((1 - p) * n) + {smooth}))) AS {n}_{tag}")
+        prior = f"least({high}, greatest({low}, (sum(p * n) + {smooth}) / (sum(n) + {2 * smooth})))"
+        steps.append(f"m{k + 1} AS MATERIALIZED (SELECT {prior}::DOUBLE AS prior, {', '.join(rates)} FROM p{k})")
+        odds = " + ".join(f"CASE vote_{n} WHEN 1 THEN {n}_up WHEN -1 THEN {n}_down ELSE 0 END" for n in names)
+        columns = ", ".join([*[f"vote_{n}" for n in names], "n"])
+        steps.append(f"p{k + 1} AS MATERIALIZED (SELECT {columns}, 1 / (1 + exp(-(ln(prior / (1 - prior)) + {odds}))) AS p FROM p{k}, m{k + 1})")
+    same = " AND ".join(f"v.vote_{n} = q.vote_{n}" for n in names)
+    rate = lambda a, b: f"CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0.0 END"
+    return rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM documents
+), g AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)
+), o AS (
+    SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1
+), r AS (
+    SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 3)) AS j FROM o) GROUP BY doc_id
+), f AS (
+    SELECT d.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+        length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(t, '[^!|]', '', 'g')) AS n_marks, len(list_distinct(ws)) AS n_distinct
+    FROM d LEFT JOIN r ON d.doc_id = r.doc_id
+), x AS (
+    SELECT *, {rate('n_symbols', 'n_words')} AS symbols, {rate('n_repeat_words', 'n_words')} AS repeats, {rate('n_dup_lines', 'n_lines')} AS lines, {rate('word_chars', 'n_words')} AS length,
+        {rate('n_upper', 'n_letters')} AS capitals, {rate('n_marks', 'n_words')} AS marks, {rate('n_distinct', 'n_words')} AS variety FROM f
+), v AS (
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {', '.join(f'{sql} AS vote_{n}' for n, sql in votes.items())} FROM x
+), pat AS MATERIALIZED (
+    SELECT {', '.join(f'vote_{n}' for n in names)}, count(*) AS n FROM v GROUP BY ALL
+), {', '.join(steps)}
+SELECT v.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND q.p >= 0.5 AS kept, round(q.p, 6) AS quality
+FROM v JOIN p{rounds} q ON {same}
+"""
+
+
+ORACLE = _oracle()

@@ -18,6 +18,10 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_jaccard_join": jaccard_join.ORACLE,
+    "op4_substring_dedup": substring_dedup.ORACLE,
+    "op8_quality_rules": quality_rules.ORACLE,
+    "op9_secret_scan": secret_scan.ORACLE,
     "op5_warc_revisits": warc_revisits.ORACLE,
     "op10_source_mixing": source_mixing.ORACLE,
 }

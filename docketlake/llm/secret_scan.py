@@ -216,3 +216,32 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(F.filter("found", lambda x: x["kind"] <= max(base))).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("found")).alias("spans"),
     )
+
+
+def _oracle() -> str:
+    """Positions from the texts between matches, as in spans(); RE2 wants no possessive or look-around forms, and has none here."""
+    each = []
+    for order, r in enumerate(RULES):
+        pattern = r.pattern.replace("'", "''")
+        found, between = f"regexp_extract_all(t, '{pattern}')", f"string_split_regex(t, '{pattern}')"
+        checked = f"regexp_extract_all(t, '{pattern}', {r.group})"
+        each.append(f"SELECT doc_id, {order} AS k, '{r.kind}' AS kind, {r.least} AS least, {found} AS m, {between} AS g, {checked} AS c FROM d")
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS ({' UNION ALL '.join(each)}),
+p AS (SELECT doc_id, k, kind, least, m, g, c, unnest(range(1, len(m) + 1)) AS i FROM a),
+s AS (
+    SELECT doc_id, k, kind, length(m[i]) AS size, length(c[i]) AS n, least,
+        coalesce(list_sum(list_transform(g[:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0) AS start FROM p
+), f AS (
+    SELECT doc_id, k, start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + size AS BIGINT) AS span FROM s WHERE n >= least
+), h AS (
+    SELECT doc_id, count(*) FILTER (k = 0) AS a0, count(*) FILTER (k = 1) AS a1, count(*) FILTER (k = 2) AS a2, string_agg(span, ',' ORDER BY start, k) AS spans, string_agg(span, ',' ORDER BY start, k) FILTER (k <= 2) AS base
+    FROM f GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(a0, 0) AS n_assign, coalesce(a1, 0) AS n_access, coalesce(a2, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id
+"""
+
+
+ORACLE = _oracle()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from docketlake.llm import textvec
 from docketlake.llm.blocks import block_table
-from docketlake.llm.common import read
+from docketlake.llm.common import WORD, read
 
 #: Words of a window, and of the runs whose least hash stands for it.
 WINDOW, SHORT = 20, 10
@@ -223,3 +223,23 @@ def deduplicated(docs: DataFrame, texts: bool = True) -> DataFrame:
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(read(spark, sf_dir, "documents"), texts=False)
+
+
+ORACLE = rf"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents
+), win AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d)
+), again AS (
+    SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1
+), gone AS (
+    SELECT doc_id, list(DISTINCT j) AS js FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS j FROM again) GROUP BY doc_id
+), words AS (
+    SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS j FROM d
+), kept AS (
+    SELECT words.doc_id, string_agg(w, ' ' ORDER BY j) AS text, count(*) AS n FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id
+    WHERE gone.js IS NULL OR NOT list_contains(gone.js, j) GROUP BY words.doc_id
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
