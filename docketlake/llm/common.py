@@ -25,9 +25,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths in the shared folder that this driver has given out.
+GIVEN: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call gets."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    GIVEN.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return GIVEN[-1]
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete everything under the paths given out so far. Call it when the results are stored: they read from there."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while GIVEN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(GIVEN.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
