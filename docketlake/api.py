@@ -17,12 +17,29 @@ from docketlake.operators import filters as P
 from docketlake.operators.store import with_citation
 from docketlake.schema import DATASETS
 
-# Transaction codes of insider filings and their meaning.
+# Transaction codes of ownership forms and their meaning, from the forms' instructions.
 CODES = {
-    "P": "open-market purchase", "S": "open-market sale", "A": "grant or award", "M": "exercise or conversion of a derivative", "F": "payment of price or tax with securities", "G": "gift", "D": "disposition to the issuer",
-    "C": "conversion of a derivative", "X": "exercise of an in-the-money derivative", "O": "exercise of an out-of-the-money derivative", "E": "expiration of a short position", "H": "expiration of a long position",
-    "I": "discretionary transaction", "J": "other", "K": "equity swap", "L": "small acquisition", "U": "tender in a change of control", "V": "reported early", "W": "by will or inheritance", "Z": "voting trust",
-}
+    "P": "Open market or private purchase of securities",
+    "S": "Open market or private sale of securities",
+    "V": "Transaction voluntarily reported earlier than required",
+    "A": "Grant, award, or other acquisition",
+    "D": "Sale (or disposition) back to the issuer",
+    "F": "Payment of exercise price or tax liability by delivering or withholding securities",
+    "I": "Discretionary transaction, which is an order to the broker to execute the transaction at the best possible price",
+    "M": "Exercise or conversion of derivative security",
+    "C": "Conversion of derivative security",
+    "E": "Expiration of short derivative position",
+    "H": "Expiration (or cancellation) of long derivative position with value received",
+    "O": "Exercise of out-of-the-money derivative security",
+    "X": "Exercise of in-the-money or at-the-money derivative security",
+    "G": "Bona fide gift",
+    "L": "Small acquisition",
+    "W": "Acquisition or disposition by will or the laws of descent and distribution",
+    "Z": "Deposit into or withdrawal from voting trust",
+    "J": "Other acquisition or disposition (described in footnotes)",
+    "K": "Transaction in equity swap or similar instrument",
+    "U": "Disposition pursuant to a tender of shares in a change of control transaction",
+}
 WINDOW_DAYS = 90
 
 
