@@ -3,8 +3,8 @@
 First pass: every window is stood for by its minimiser, the least of the hashes of the SHORT-word runs inside it; equal
 windows have equal minimisers. Each block of documents counts its minimisers, and count-min sketches, one for each
 slice of the hash space, add the blocks' parts up. A sketch never reports too little, so a window whose minimiser is
-not estimated repeated occurs once. Second pass: only the other windows are grouped, by their own 64-bit hash within
-the slice of their minimiser, and all but the first in order of (doc_id, place) are removed. A window that a block
+not estimated repeated occurs once. Second pass: only the other windows are grouped, by a 64-bit hash within slices
+dealt by a second hash, and all but the first in order of (doc_id, place) are removed. A window that a block
 holds several times leaves the block once, so that no window can fill a task.
 """
 
@@ -134,8 +134,10 @@ def repeated_words(table: DataFrame, slices: int) -> DataFrame:
         _, first = np.unique(words.windows[candidates], return_index=True)
         leaders = candidates[np.sort(first)]
         again = np.setdiff1d(candidates, leaders, assume_unique=True)
-        own: dict[int, np.ndarray] = {s: again[p] for s, p in _grouped(slice_of[back[again]])}
-        lead: dict[int, np.ndarray] = {s: leaders[p] for s, p in _grouped(slice_of[back[leaders]])}
+        # windows are dealt by a hash of their own, so that those of a very common passage part
+        dealt = (textvec.run_hash(words.hashes, words.at, words.at + WINDOW, 23) % np.uint64(slices)).astype(np.int64)
+        own: dict[int, np.ndarray] = {s: again[p] for s, p in _grouped(dealt[again])}
+        lead: dict[int, np.ndarray] = {s: leaders[p] for s, p in _grouped(dealt[leaders])}
         keys = list(lead)
         ids, valid = words.block["doc_id"].fill_null(0).to_numpy(), words.block["doc_id"].is_valid().to_numpy()
         doc = lambda part: words.rows[words.at[part]]
