@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docketlake import schema
+from docketlake.api import Trackers
 from docketlake.functions import scalars as S
-from docketlake.operators import aggregates, asof, feeds, filters, joins, store
+from docketlake.operators import aggregates, asof, feeds, filters, joins, resolve, store
 from docketlake.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -469,3 +471,145 @@ def q_rolling_grants(spark, d):
     events = table(spark, d, "events").select("user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"))
     window = Window.partitionBy("user_id").orderBy("s").rangeBetween(-3599, 0)
     return events.withColumn("n", F.count("*").over(window)).groupBy("user_id").agg(F.max("n").alias("most_in_an_hour"))
+
+
+# --- resolution, roll-ups and bookkeeping
+
+
+@registered("""SELECT event_id, user_id, CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS grp FROM events""")
+def q_fill_down(spark, d):
+    return joins.group_fill(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "view").select("event_id", "user_id", "grp")
+
+
+@registered("""SELECT o_custkey, o_orderpriority AS name FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1""")
+def q_latest_name(spark, d):
+    return feeds.latest_name(table(spark, d, "orders").withColumnRenamed("o_orderpriority", "name"), "o_custkey", "name", "o_orderdate", "o_orderkey")
+
+
+@registered("""WITH f AS (SELECT l_returnflag AS dataset, year(l_shipdate) AS year, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS path, l_discount > 0.05 AS explicit, l_extendedprice AS bytes, l_shipdate AS updated_at FROM lineitem)
+    SELECT dataset, CAST(year AS INT) AS year, path, explicit, bytes FROM f QUALIFY row_number() OVER (PARTITION BY dataset, year ORDER BY explicit DESC, bytes DESC, updated_at DESC, path DESC) = 1""")
+def q_archive_index(spark, d):
+    files = table(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("dataset"), F.year("l_shipdate").alias("year"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("path"),
+        (F.col("l_discount") > 0.05).alias("explicit"), F.col("l_extendedprice").alias("bytes"), F.col("l_shipdate").alias("updated_at"),
+    )
+    return store.archive_index(files).select("dataset", "year", "path", "explicit", "bytes")
+
+
+@registered("SELECT count(*) AS attempted, count(*) FILTER (value > 1) AS succeeded, round(count(*) FILTER (value > 1) / count(*), 6) AS rate, count(*) FILTER (value > 1) / count(*) >= 0.99 AS passed FROM events")
+def q_success_rate(spark, d):
+    return aggregates.success_rate(table(spark, d, "events"), F.col("value") > 1).withColumn("rate", F.round("rate", 6))
+
+
+@registered("SELECT event_type, event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1")
+def q_latest_runs(spark, d):
+    runs = table(spark, d, "events").withColumn("at", F.struct("ts", "event_id"))
+    return store.latest_runs(runs, "event_type", "at").select("event_type", "event_id", "user_id")
+
+
+@registered("SELECT 'orders' AS dataset, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'part', count(*) FROM part")
+def q_table_counts(spark, d):
+    one = lambda n: table(spark, d, n).agg(F.count("*").alias("n")).select(F.lit(n).alias("dataset"), "n")
+    return one("orders").unionByName(one("lineitem")).unionByName(one("part"))
+
+
+@registered("""WITH c AS (SELECT DISTINCT l_partkey, o_orderkey, year(o_orderdate) AS y FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT l_partkey AS bill_id, o_orderkey AS id FROM c QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY y DESC, o_orderkey) <= 3""")
+def q_bill_lobbying(spark, d):
+    bills = table(spark, d, "part").select(F.lit("HR").alias("bill_type"), F.col("p_partkey").alias("bill_number"), F.col("p_partkey").alias("id"))
+    cited = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set(S.bill_token(F.lit("HR"), F.col("l_partkey"))).alias("bill_references"))
+    filings = cited.join(table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("filing_year")), "id")
+    return joins.bill_lobbying(bills, filings, 3).select("bill_id", "id")
+
+
+@registered("SELECT o_orderkey FROM orders WHERE o_custkey = (SELECT min(c_custkey) FROM customer WHERE c_custkey = 42 HAVING count(DISTINCT c_custkey) = 1)")
+def q_candidate_contributions(spark, d):
+    found = table(spark, d, "customer").where("c_custkey = 42").select(F.col("c_custkey").alias("candidate_id"))
+    gifts = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("candidate_id"))
+    return joins.candidate_contributions(found, gifts).select("o_orderkey")
+
+
+@registered("""WITH a AS (SELECT DISTINCT l_orderkey, o_orderdate, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'A')
+    SELECT s_nationkey AS committee, count(*) AS n, CAST(min(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) AS INT) AS least_days FROM lineitem t JOIN supplier ON t.l_suppkey = s_suppkey JOIN a ON a.l_partkey = t.l_partkey WHERE t.l_returnflag = 'R' GROUP BY 1""")
+def q_oversight_overlap(spark, d):
+    seats = table(spark, d, "supplier").select(F.col("s_suppkey").alias("bioguide_id"), F.col("s_nationkey").alias("committee_thomas_id"))
+    lines = table(spark, d, "lineitem")
+    trades = lines.where("l_returnflag = 'R'").select(F.col("l_suppkey").alias("bioguide_id"), F.col("l_partkey").alias("ticker"), F.col("l_shipdate").cast("date").alias("transacted_at"))
+    awards = lines.where("l_returnflag = 'A'").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set("l_partkey").alias("recipient_tickers"))
+    dated = awards.join(table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("action_date"), F.lit("x").alias("agency")), "id")
+    found = joins.oversight_overlap(seats, trades, dated)
+    return found.groupBy(F.col("committee_thomas_id").alias("committee")).agg(F.count("*").alias("n"), F.min("days_after_award").alias("least_days"))
+
+
+@registered("""SELECT 'ACME ' || (s_suppkey % 40) AS name, array_to_string(list_sort(list(DISTINCT s_name)), ',') AS tickers FROM supplier GROUP BY s_suppkey % 40 HAVING count(DISTINCT s_nationkey) = 1""")
+def q_name_index(spark, d):
+    rows = table(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("cik"), F.col("s_name").alias("ticker"), F.concat(F.lit("Acme "), (F.col("s_suppkey") % 40).cast("string"), F.lit(", Inc.")).alias("name"))
+    return aggregates.name_index(rows).select("name", F.array_join("tickers", ",").alias("tickers"))
+
+
+@registered("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'LMT' WHEN 1 THEN 'AAPL' WHEN 2 THEN '' WHEN 3 THEN 'SOLO' ELSE '' END AS tickers FROM customer""")
+def q_entity_resolution(spark, d):
+    forms = ["Lockheed Martin Unit {} LLC", "Apple, Inc.", "Apple Valley District {}", "Solo Industries Corp", "Lockheed Martini {}"]
+    entries = spark.createDataFrame([(1, ["Lockheed Martin Corp"], ["LMT"]), (2, ["Apple Inc"], ["AAPL"])], "entry int, names array<string>, tickers array<string>")
+    issuers = spark.createDataFrame([("7", "SOLO", "SOLO INDUSTRIES INC /DE/")], "cik string, ticker string, name string")
+    form = F.element_at(F.array(*map(F.lit, forms)), (F.col("c_custkey") % 5 + 1).cast("int"))
+    rows = table(spark, d, "customer").select("c_custkey", F.replace(form, F.lit("{}"), F.col("c_custkey").cast("string")).alias("name"))
+    found = resolve.resolve_entities(rows, entries, registrants=issuers)
+    return rows.join(found, "name").select("c_custkey", F.array_join("tickers", ",").alias("tickers"))
+
+
+@registered("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'C1' WHEN 1 THEN 'R1' WHEN 2 THEN NULL WHEN 3 THEN 'S2' ELSE NULL END AS bioguide_id FROM customer""")
+def q_member_match(spark, d):
+    members = spark.createDataFrame(
+        [("C1", "James", "Comer", "house"), ("R1", "Lucia", "Ramirez-Ortega", "house"), ("S1", "Adam", "Smith", "house"), ("S2", "Jason", "Smith", "house")], "bioguide_id string, first_name string, last_name string, chamber string"
+    )
+    forms = ["Hon. James {} Comer Jr.", "Ramirez Ortega, Lucia {}", "Smith, {}", "Jas {} Smith", "Nobody {}"]
+    form = F.element_at(F.array(*map(F.lit, forms)), (F.col("c_custkey") % 5 + 1).cast("int"))
+    rows = table(spark, d, "customer").select("c_custkey", F.replace(form, F.lit("{}"), F.concat(F.lit("X"), F.col("c_custkey").cast("string"))).alias("name"), F.lit("house").alias("chamber"))
+    return rows.join(resolve.match_members(rows, members), ["name", "chamber"]).select("c_custkey", "bioguide_id")
+
+
+@registered("""SELECT c_nationkey, c_mktsegment, max(CASE WHEN c_custkey % 3 = 0 THEN 'T' || (c_custkey % 5) END) AS title,
+    coalesce(array_to_string(list_sort(list(DISTINCT 'S' || (c_custkey % 7)) FILTER (c_custkey % 3 <> 0)), ','), '') AS subcommittees FROM customer GROUP BY 1, 2""")
+def q_committee_folding(spark, d):
+    key = F.col("c_custkey")
+    sub = F.when(key % 3 != 0, F.concat(F.lit("S"), (key % 7).cast("string")))
+    seats = table(spark, d, "customer").select(
+        F.col("c_nationkey").alias("bioguide_id"), F.col("c_mktsegment").alias("committee_thomas_id"), F.col("c_mktsegment").alias("committee_name"), sub.alias("subcommittee_thomas_id"),
+        sub.alias("subcommittee_name"), F.concat(F.lit("T"), (key % 5).cast("string")).alias("title"),
+    )
+    found = joins.fold_committees(seats)
+    return found.select(F.col("bioguide_id").alias("c_nationkey"), F.col("committee_name").alias("c_mktsegment"), "title", F.array_join("subcommittees", ",").alias("subcommittees"))
+
+
+@registered("SELECT event_type AS source, CAST(sum(user_id) AS BIGINT) AS rows, bool_and(value > 0.01) AS ok, bool_or(value > 0.01) AS partly_ok FROM events GROUP BY 1")
+def q_run_rollup(spark, d):
+    return aggregates.run_rollup(table(spark, d, "events").select(F.col("event_type").alias("source"), F.col("user_id").alias("rows"), (F.col("value") > 0.01).alias("ok")), ["source"])
+
+
+@registered("""SELECT DISTINCT l_returnflag AS code, CASE l_returnflag WHEN 'A' THEN 'Grant, award, or other acquisition' ELSE 'unknown code' END AS description FROM lineitem WHERE l_returnflag IS NOT NULL""")
+def q_code_legend(spark, d):
+    return Trackers(spark, {}).legend(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("code")))
+
+
+@registered("SELECT event_id FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-13'")
+def q_cursor_window(spark, d):
+    return incremental.due(table(spark, d, "events"), "ts", incremental.Cursor("cftc", "last", "2024-01-20", 7), "2024-01-01").select("event_id")
+
+
+@registered("""SELECT count(*) FILTER (p_brand NOT SIMILAR TO '[A-Z0-9.-]+') AS rejected FROM part""")
+def q_unsafe_entities(spark, d):
+    rows = table(spark, d, "part").withColumn("at", F.lit("2026-01-10").cast("timestamp"))
+    return feeds.safe_entities(rows, F.array("p_brand"), "at", "2026-01-20")[1]
+
+
+@registered("""WITH v AS (SELECT event_id % 4 AS k FROM events) SELECT CASE k WHEN 0 THEN '' WHEN 1 THEN 'ticker is missing' WHEN 2 THEN 'date is missing' ELSE 'ticker is missing; date is missing' END AS reasons, count(*) AS n FROM v GROUP BY 1""")
+def q_validation(spark, d):
+    key = F.col("event_id") % 4
+    rows = table(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("id"), F.when(~key.isin(2, 3), F.col("ts").cast("date")).alias("date"), F.when(~key.isin(1, 3), F.lit("T")).alias("ticker"), F.lit("M").alias("market"), F.lit(1.0).alias("short_volume"),
+        F.lit(0.0).alias("short_exempt_volume"), F.lit(2.0).alias("total_volume"), schema.provenance("finra", F.lit("u"), F.lit("2026-01-01"), "p").alias("provenance"),
+    )
+    good, bad = schema.validate(schema.conformed(rows, "short-volume"), "short-volume")
+    order = F.array_sort("reasons", lambda a, b: F.when(a > b, -1).otherwise(1))
+    return good.select(F.lit("").alias("reasons")).unionByName(bad.select(F.array_join(order, "; ").alias("reasons"))).groupBy("reasons").agg(F.count("*").alias("n"))
