@@ -48,7 +48,7 @@ def shingles(chunk: textvec.Chunk) -> tuple[np.ndarray, np.ndarray]:
     short = np.flatnonzero((words > 0) & (words < SHINGLE))
     if not len(short):
         return grams, rows[at]
-    whole = textvec.run_hash(hashes, first[short], first[short] + words[short], 19)
+    whole = textvec.joint_hash(hashes, first[short], first[short] + words[short], 19)
     of = np.concatenate([rows[at], short])
     order = np.argsort(of, kind="stable")
     return np.concatenate([grams, whole])[order], of[order]

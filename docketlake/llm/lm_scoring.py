@@ -170,7 +170,7 @@ class BlockTokens:
         n = len(self.words)
         at = np.frombuffer(self.words.buffers()[1], np.int32)[: n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
         data = np.frombuffer(self.words.buffers()[2] or b"", np.uint8)
-        self.hashes = textvec.run_hash(textvec._value(3)[data], at[:-1], at[1:], 3) if n else np.zeros(0, np.uint64)
+        self.hashes = textvec.run_hash(textvec._value(3)[data], at[:-1], at[1:]) if n else np.zeros(0, np.uint64)
 
     def slices(self, n: int) -> Iterator[tuple[int, np.ndarray]]:
         """For each slice of the vocabulary, the numbers of the block's words in it, ascending."""

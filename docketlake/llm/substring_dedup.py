@@ -48,7 +48,7 @@ class BlockWords:
         n = len(self.hashes) - SHORT + 1
         if not len(self.at):
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        runs = textvec.run_hash(self.hashes, np.arange(n), np.arange(n) + SHORT, 13)
+        runs = textvec.joint_hash(self.hashes, np.arange(n), np.arange(n) + SHORT, 13)
         least, place = runs[self.at].copy(), self.at.copy()
         for k in range(1, WINDOW - SHORT + 1):
             other = runs[self.at + k]
@@ -135,7 +135,7 @@ def repeated_words(table: DataFrame, slices: int) -> DataFrame:
         leaders = candidates[np.sort(first)]
         again = np.setdiff1d(candidates, leaders, assume_unique=True)
         # windows are dealt by a hash of their own, so that those of a very common passage part
-        dealt = (textvec.run_hash(words.hashes, words.at, words.at + WINDOW, 23) % np.uint64(slices)).astype(np.int64)
+        dealt = (textvec.joint_hash(words.hashes, words.at, words.at + WINDOW, 23) % np.uint64(slices)).astype(np.int64)
         own: dict[int, np.ndarray] = {s: again[p] for s, p in _grouped(dealt[again])}
         lead: dict[int, np.ndarray] = {s: leaders[p] for s, p in _grouped(dealt[leaders])}
         keys = list(lead)

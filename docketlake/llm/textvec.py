@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one longer text is handled whole.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 BREAK = np.zeros(256, bool)
 BREAK[[9, 10, 11, 12, 13, 32]] = True
@@ -23,7 +23,7 @@ NEWLINE[10] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[np.ndarray] = []
 _values: dict[int, np.ndarray] = {}
 
 
@@ -38,35 +38,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _base(seed: int) -> int:
-    return int(mix(np.array([seed * 2 + 1], np.uint64))[0]) | 5
-
-
-def _power(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64, at least n + 1 of each."""
-    found = _powers.get(seed)
-    if found is None or len(found[0]) <= n:
-        size, base = max(n + 1, CHUNK_BYTES + 1), _base(seed)
+def _power(n: int) -> list[np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2**64, at least n + 1 of each; one pair serves all seeds."""
+    if not _powers or len(_powers[0]) <= n:
+        size, base = max(n, CHUNK_BYTES) + 1, 0x9E3779B97F4A7C15
         steps = np.full((2, size), 1, np.uint64)
         steps[0, 1:], steps[1, 1:] = base, pow(base, -1, 1 << 64)
-        found = _powers[seed] = tuple(np.multiply.accumulate(steps, axis=1))
-    return found
+        _powers[:] = np.multiply.accumulate(steps, axis=1)
+    return _powers
 
 
 def _value(seed: int) -> np.ndarray:
+    """A random number for each byte."""
     if seed not in _values:
         _values[seed] = mix(np.arange(256, dtype=np.uint64) + np.uint64(1 + 1000 * seed)) | np.uint64(1)
     return _values[seed]
 
 
-def run_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    """Hashes of the runs values[start:end], whatever their place."""
-    power, inverse = _power(seed, len(values))
+def run_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the runs values[start:end], whatever their place. Values are random numbers that depend on a seed."""
+    power, inverse = _power(len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * power[: len(values)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
+def joint_hash(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of runs of hashes: those of words to those of windows. Other seeds hash independently."""
+    return run_hash(mix(hashes ^ np.uint64(0xD1B54A32D192ED03 * (2 * seed + 1) % (1 << 64))), starts, ends)
+
+
 @dataclass
 class Chunk:
     """Rows ``lo`` to ``hi`` of a column: their bytes and where each begins."""
@@ -94,7 +95,7 @@ class Chunk:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, seed: int = 1, lower: bool = False) -> np.ndarray:
         table = _value(seed)
-        return run_hash((table[LOWER] if lower else table)[self.data], starts, ends, seed)
+        return run_hash((table[LOWER] if lower else table)[self.data], starts, ends)
 
     def total(self, mask: np.ndarray) -> np.ndarray:
         """How many bytes of each row the mask (a table of 256) marks."""
@@ -109,7 +110,7 @@ def windows(hashes: np.ndarray, rows: np.ndarray, size: int, seed: int = 7) -> t
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.flatnonzero(rows[:n] == rows[size - 1 :])
-    return at, run_hash(hashes, at, at + size, seed)
+    return at, joint_hash(hashes, at, at + size, seed)
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
