@@ -29,6 +29,8 @@ FUNCTIONS, TOKENS = 48, 24
 RUNS, FANOUT, DEPTH = 2, 4, 3
 #: A larger bucket is split by further tokens; a bucket is dense if a child keeps this share of it.
 SMALL, DENSE = 128, 0.5
+#: Buckets that may count as hot.
+HOT = 1000
 #: Sets of a bucket compared in one task: two blocks of at most about this many.
 BLOCK = 384
 #: A signature must agree in this share of its functions, four standard deviations under SIMILARITY, to be compared.
@@ -102,24 +104,47 @@ def _children(path: Column, sampled: Callable[[int], Column]) -> Column:
     return F.explode(F.array(*[pair(sampled(j)) for j in range(FANOUT)]))
 
 
+def _sized(members: DataFrame, name: str) -> DataFrame:
+    """Members of buckets of two sets or more, with the size.
+
+    At most HOT buckets can hold over a HOT-th of all members; their sizes are broadcast, so that no bucket's members
+    have to meet in one task.
+    """
+    sizes = written(members.groupBy("leaf").agg(F.count("*").alias("size")).where("size > 1"), f"{name}-sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    hot = F.broadcast(sizes.where(F.col("size") > total / HOT))
+    rest = members.join(hot.select("leaf"), "leaf", "left_anti").join(sizes.where(F.col("size") <= total / HOT), "leaf")
+    return written(members.join(hot, "leaf").unionByName(rest), name)
+
+
+def _kept(rows: DataFrame, dense: DataFrame, inside: bool) -> DataFrame:
+    """Rows whose bucket is (not) among the dense ones. The HOT largest of these are broadcast, for the same reason."""
+    hot = F.broadcast(dense.orderBy(F.col("size").desc(), "leaf").limit(HOT).select("leaf"))
+    rest = dense.select("leaf").join(hot, "leaf", "left_anti")
+    others = rows.join(hot, "leaf", "left_anti")
+    if not inside:
+        return others.join(rest, "leaf", "left_anti")
+    return rows.join(hot, "leaf", "left_semi").unionByName(others.join(rest, "leaf", "left_semi"))
+
+
 def buckets(sets: DataFrame) -> DataFrame:
     """``(leaf, a, b, size)``: the buckets to compare, of two sets or more, with their sizes."""
     roots = sets.select(*NODE, "tokens", F.explode(F.array(*[F.lit(r).cast("long") for r in range(RUNS)])).alias("run"))
     members = roots.select(*NODE, _children(F.col("run"), lambda j: F.col("run") * FANOUT + j).alias("leaf"))
     leaves = None
     for depth in range(1, DEPTH + 1):
-        sizes = members.groupBy("leaf").agg(F.count("*").alias("size")).where("size > 1")
-        sized = written(members.join(sizes, "leaf"), f"paths-{depth}")
+        sized = _sized(members, f"paths-{depth}")
         if depth == DEPTH or not sized.where(F.col("size") > SMALL).head(1):
             return sized if leaves is None else leaves.unionByName(sized)
         large = sized.where(F.col("size") > SMALL).join(sets.select(*NODE, "tokens"), [*NODE])
         start = lambda j: F.pmod(F.xxhash64("leaf", F.lit(depth)) + j * 5, F.lit(TOKENS))
         below = written(large.select(*NODE, "leaf", "size", _children(F.col("leaf"), start).alias("child")), f"children-{depth}")
         kept = below.groupBy("leaf", "child").agg(F.count("*").alias("n"), F.first("size").alias("size"))
-        dense = kept.groupBy("leaf").agg(F.max(F.col("n") / F.col("size")).alias("share")).where(F.col("share") >= DENSE).select("leaf")
-        here = sized.where(F.col("size") <= SMALL).unionByName(sized.where(F.col("size") > SMALL).join(dense, "leaf", "left_semi").select(sized.columns))
+        share = kept.groupBy("leaf").agg(F.max(F.col("n") / F.col("size")).alias("share"), F.first("size").alias("size"))
+        dense = written(share.where(F.col("share") >= DENSE), f"dense-{depth}")
+        here = sized.where(F.col("size") <= SMALL).unionByName(_kept(sized.where(F.col("size") > SMALL), dense, True))
         leaves = here if leaves is None else leaves.unionByName(here)
-        members = below.join(dense, "leaf", "left_anti").select(*NODE, F.col("child").alias("leaf"))
+        members = _kept(below, dense, False).select(*NODE, F.col("child").alias("leaf"))
     raise AssertionError("the last depth returns")
 
 
@@ -302,10 +327,14 @@ def join(docs: DataFrame) -> DataFrame:
     )
     found = written(links(docs, sets), "links")
     counts = found.groupBy(*NODE).agg(F.sum("links").alias("n_links"))
-    classes = sets.select(*NODE, "rep", "copies").join(components(found), [*NODE], "left").join(counts, [*NODE], "left")
-    classes = classes.select(*NODE, "rep", "copies", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    least = classes.groupBy("ca", "cb").agg(F.min("rep").alias("class_id"))
-    named = classes.join(least, ["ca", "cb"]).select(*NODE, "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"))
+    classes = written(sets.select(*NODE, "rep", "copies").join(components(found), [*NODE], "left").join(counts, [*NODE], "left"), "classes")
+    least = written(classes.where("ca is not null").groupBy("ca", "cb").agg(F.min("rep").alias("class_id"), F.count("*").alias("size")), "least")
+    # the largest groups of near copies meet their least id by broadcast, so that no group meets in one task
+    hot = F.broadcast(least.orderBy(F.col("size").desc(), "ca", "cb").limit(HOT))
+    rest = least.join(hot.select("ca", "cb"), ["ca", "cb"], "left_anti")
+    grouped = classes.join(hot, ["ca", "cb"]).unionByName(classes.join(hot.select("ca", "cb"), ["ca", "cb"], "left_anti").join(rest, ["ca", "cb"])).drop("size")
+    named = grouped.unionByName(classes.where("ca is null").withColumn("class_id", F.col("rep")))
+    named = named.select(*NODE, "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("copies") - 1).alias("n_copies"))
     return table.select("doc_id", *NODE).join(named, [*NODE]).select("doc_id", "class_id", F.col("n_links").cast("long").alias("n_links"), "n_copies")
 
 
