@@ -11,6 +11,7 @@ import public_tokenizers
 import corpus_pipeline
 from docketlake.llm import quality_rules
 from docketlake.llm.common import read
+from tests.llm.fixtures import empty, frame
 from tests.llm.test_python import brute_join
 
 SF = "/root/testdata/sf0.001"
@@ -52,3 +53,19 @@ def test_stages(spark):
 def test_run(spark):
     found = corpus_pipeline.run(spark, SF).collect()
     assert found and [r.start for r in sorted(found, key=lambda r: r.start)] == [0, *np.cumsum([r.n_tokens for r in sorted(found, key=lambda r: r.start)])[:-1]]
+
+
+def test_stages_take_hard_rows_and_empty_tables(spark):
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (frame(spark), empty(spark)):
+            found = stage(spark, docs, SF)
+            rows = found.collect()
+            assert (found.columns == docs.columns) == (name != "token_output")
+            assert len(rows) <= 2 * docs.count() and (rows or docs.count() == 0)
+
+
+def test_a_table_where_nothing_stays(spark):
+    docs = frame(spark, [(1, "short", None), (2, None, None)])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+    assert docs.count() == 0
