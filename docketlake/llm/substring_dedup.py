@@ -25,7 +25,7 @@ from docketlake.llm.common import WORD, read
 #: Words of a window, and of the runs whose least hash stands for it.
 WINDOW, SHORT = 20, 10
 #: Minimisers that a slice of the hash space gets on average, and the least number of slices.
-SLICE_ITEMS, LEAST_SLICES = 1 << 19, 64
+SLICE_ITEMS, LEAST_SLICES = 1 << 17, 64
 #: A count-min sketch has DEPTH rows, each with this many counters for each item.
 DEPTH, COUNTERS = 2, 4
 
