@@ -31,7 +31,7 @@ ROUNDS, SMOOTH = 3, 0.01
 #: Words scored together hold at most about this many bytes.
 CELLS = 1 << 18
 #: Words of a block's text that a slice of the vocabulary gets on average.
-SLICE_WORDS, LEAST_SLICES = 1 << 18, 64
+SLICE_WORDS, LEAST_SLICES = 1 << 16, 64
 #: The additive constant of the base model.
 BASE_ADD = 0.1
 MARK = b" "
