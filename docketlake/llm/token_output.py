@@ -28,8 +28,9 @@ MAGIC = b"DLTOKEN1"
 BLOCK_IDS = 8192
 TAIL = np.dtype([("bits", "<u4"), ("block_ids", "<u4"), ("n_docs", "<u8"), ("n_ids", "<u8"), ("n_blocks", "<u8"), ("index_at", "<u8")])
 END_ID = 2
-#: Words whose ids a worker keeps (some 250 MB); the store starts anew when it is full.
-CACHED_WORDS = 1_500_000
+#: Words whose ids a worker keeps (some 150 MB), in two halves: a full one becomes the old one, whose words come back
+#: when they are met again, and so frequent words stay.
+CACHED_WORDS = 1_000_000
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -142,7 +143,7 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.old = Tokenizer.from_file(path), {}, {}
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
 
     @classmethod
@@ -154,10 +155,15 @@ class WordTokenizer:
     def encode(self, text: bytes) -> np.ndarray:
         words = text.split()  # of bytes: at space and U+0009 to U+000D, as elsewhere here
         if new := [w for w in set(words) if w not in self.known]:
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known.clear()
-                new = list(set(words))
-            for w, found in zip(new, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False), strict=True):
+            if len(self.known) + len(new) > CACHED_WORDS // 2:
+                self.old, self.known, new = self.known, {}, list(set(words))
+            unseen = []
+            for w in new:
+                if w in self.old:
+                    self.known[w] = self.old[w]
+                else:
+                    unseen.append(w)
+            for w, found in zip(unseen, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in unseen], add_special_tokens=False), strict=True):
                 self.known[w] = array("I", found.ids).tobytes()
         return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
 
