@@ -28,9 +28,9 @@ MAGIC = b"DLTOKEN1"
 BLOCK_IDS = 8192
 TAIL = np.dtype([("bits", "<u4"), ("block_ids", "<u4"), ("n_docs", "<u8"), ("n_ids", "<u8"), ("n_blocks", "<u8"), ("index_at", "<u8")])
 END_ID = 2
-#: Words whose ids a worker keeps (some 150 MB), in two halves: a full one becomes the old one, whose words come back
+#: Words whose ids a worker keeps (at most some 350 MB), in two halves: a full one becomes the old one, whose words come back
 #: when they are met again, and so frequent words stay.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 2_000_000
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
