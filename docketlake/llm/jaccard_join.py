@@ -32,7 +32,7 @@ SMALL, DENSE = 128, 0.5
 #: Buckets that may count as hot.
 HOT = 1000
 #: Sets of a bucket compared in one task: two blocks of at most about this many.
-BLOCK = 384
+BLOCK = 1024
 #: A signature must agree in this share of its functions, four standard deviations under SIMILARITY, to be compared.
 PLAUSIBLE = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / FUNCTIONS) ** 0.5
 
