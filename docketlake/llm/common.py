@@ -16,12 +16,23 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 20_000
 
 
+#: Folders of applications whose session names none.
+OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a new one that this session then uses."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of spark.checkpoint.dir; where it is unset (tests), a new one that this application keeps.
+
+    A path without a scheme is one of the default file system, for Python readers as for Spark.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or OWN.get(context.applicationId)
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='docketlake-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = OWN[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='docketlake-')}"
+        context.setCheckpointDir(found)
+    if "://" not in found:
+        default = context._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        found = ("file://" if default.startswith("file:") else default.rstrip("/")) + found.removeprefix("file:")
     return found.rstrip("/")
 
 

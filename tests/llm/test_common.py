@@ -9,15 +9,29 @@ from docketlake.llm import common
 
 def test_written_tables_live_in_the_shared_folder_until_discarded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "GIVEN", [])
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared/")
-    try:
-        table = common.written(spark.range(5).toDF("x"), "numbers")
-        assert table.count() == 5 and [p.name.split("-")[0] for p in Path(f"{tmp_path}/shared").iterdir()] == ["numbers"]
-        common.discard(spark)
-        assert list(Path(f"{tmp_path}/shared").iterdir()) == []
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    table = common.written(spark.range(5).toDF("x"), "numbers")
+    assert table.count() == 5 and [p.name.split("-")[0] for p in Path(f"{tmp_path}/shared").iterdir() if p.is_dir()] == ["numbers"]
+    common.discard(spark)
+    assert [p for p in Path(f"{tmp_path}/shared").iterdir() if p.is_dir()] == []
+
+
+class Unset:
+    """A session that names no folder."""
+
+    def __init__(self, spark):
+        self.sparkContext, self.conf = spark.sparkContext, self
+
+    def get(self, _, default):
+        return default
 
 
 def test_an_unset_folder_is_made_once(spark):
-    assert common.shared_dir(spark) == common.shared_dir(spark) and common.shared_dir(spark).startswith("file:///")
+    found = common.shared_dir(Unset(spark))
+    assert found == common.shared_dir(Unset(spark)) and found.startswith("file:///")
+
+
+def test_a_path_without_scheme_is_qualified(spark):
+    named = Unset(spark)
+    named.get = lambda *_: "/tmp/some/folder/"
+    assert common.shared_dir(named) == "file:///tmp/some/folder"
