@@ -301,6 +301,22 @@ def brute_align(item, text):
     return best
 
 
+def test_copies_in_many_documents(spark):
+    rnd = random.Random(5)
+    words = ["tok" + str(i) for i in range(300)]
+    items = [[rnd.choice(words) for _ in range(40)] for _ in range(3)]
+    edited = lambda item: [f"changed{i}" if i in (5, 15, 25, 33) else w for i, w in enumerate(item)]
+    prose = lambda n: [rnd.choice(words) for _ in range(n)]
+    texts = [prose(60) for _ in range(20)]
+    texts += [prose(10) + edited(items[0]) + prose(9) for _ in range(5)] + [prose(10) + edited(items[1]) + prose(9) for _ in range(1000)]
+    texts += [prose(10) + items[2][:24] + prose(20) for _ in range(60)] + [items[2][:9] + prose(40) for _ in range(60)]  # a part that counts, and one too short
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    rows = [(d, " ".join(x), None) for d, x in enumerate(texts)]
+    found = {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(frame(spark, rows), bench).collect()}
+    brute = {(d, k): brute_align(item, x) / 80 for d, x in enumerate(texts) for k, item in enumerate(items) if len(set(x) & set(item)) >= 20}
+    assert found == {x: score for x, score in brute.items() if score >= 0.5} and len(found) == 1065
+
+
 @given(st.lists(st.integers(1, 4), min_size=1, max_size=8), st.lists(st.lists(st.integers(1, 4), min_size=6, max_size=6), min_size=1, max_size=4))
 @settings(max_examples=60, deadline=None)
 def test_alignment(item, texts):
