@@ -389,6 +389,14 @@ def q_series_gap_fill(spark, d):
     return joins.gap_filled(events, ["user_id"], "day", "2024-01-01", "2024-01-14", weekdays_only=True).select(day("day").alias("day"), "user_id", "n")
 
 
+@registered("""WITH days AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-14', INTERVAL 1 DAY))::DATE AS d), u AS (SELECT DISTINCT user_id FROM events),
+    e AS (SELECT CAST(ts AS DATE) AS d, user_id, count(*) AS n FROM events GROUP BY 1, 2)
+    SELECT CAST(days.d AS VARCHAR) AS day, u.user_id, coalesce(e.n, 0) AS n FROM days, u LEFT JOIN e ON e.d = days.d AND e.user_id = u.user_id WHERE isodow(days.d) < 6""")
+def q_series_gap_fill_all(spark, d):
+    events = table(spark, d, "events").select("user_id", F.col("ts").cast("date").alias("day"))
+    return joins.gap_filled(events, ["user_id"], "day", "2024-01-01", "2024-01-14", weekdays_only=True).select(day("day").alias("day"), "user_id", "n")
+
+
 @registered("""SELECT event_id, event_type || ' by ' || user_id || CASE WHEN value > 50 THEN ': ' || CASE WHEN value = floor(value) THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) ELSE 'part' END ELSE '' END AS title FROM events""")
 def q_title_render(spark, d):
     whole = F.when(F.col("value") == F.floor("value"), S.plain_number(F.col("value"))).otherwise("part")

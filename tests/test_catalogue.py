@@ -23,6 +23,15 @@ def test_query_matches_its_sql(spark, con, name):
         assert df.count() > 0
 
 
+def test_gaps_are_filled_for_every_user(spark):
+    folder = "/root/testdata/sf0.01"
+    con = connect(folder)
+    [(users,)] = con.sql("SELECT count(DISTINCT user_id) FROM events").fetchall()
+    found = [q(spark, folder) for name, q in catalogue.QUERIES.items() if name.startswith("q_series_gap_fill")]
+    assert users > 40 and max(df.count() for df in found) == 10 * users
+    same(catalogue.QUERIES["q_series_gap_fill_all"](spark, folder), con, catalogue.ORACLES["q_series_gap_fill_all"])
+
+
 def test_entry_gives_the_flagship_query(spark):
     assert entry.entry(spark).count() == 1
 
