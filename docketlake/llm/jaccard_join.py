@@ -5,7 +5,7 @@ each root (a run) sets go down the paths of some sampled tokens (minima of hash
 a child with probability equal to their similarity. Small buckets are compared by brute force, large ones are split by
 further tokens, and a large bucket that tokens cannot split (a group of near copies) is compared in blocks of bounded
 size. RUNS repeat this; with FANOUT tokens a node, a pair of similarity 0.8 is missed at the root with probability
-0.2 ** (RUNS * FANOUT). A pair counts only in the least bucket that both its sets are in, so each link is counted once
+0.2 ** (RUNS * FANOUT), 2.56e-6, and by its signature with 1.06e-9, in sum 2.561e-6. A pair counts only in the least bucket that both its sets are in, so each link is counted once
 and no pair leaves a task: a task gives, for each set, its number of links and the least set it is connected to there.
 
 Sets are compared by 64-bit hashes of their shingles; their classes by 128 bits.
@@ -33,8 +33,9 @@ SMALL, DENSE = 128, 0.5
 HOT = 1000
 #: Sets of a bucket compared in one task: two blocks of at most about this many.
 BLOCK = 1024
-#: A signature must agree in this share of its functions, four standard deviations under SIMILARITY, to be compared.
-PLAUSIBLE = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / FUNCTIONS) ** 0.5
+#: A signature must agree in this share of its functions, seven standard deviations under SIMILARITY, to be compared;
+#: a pair of that similarity fails this far more rarely than it is missed by the paths.
+PLAUSIBLE = SIMILARITY - 7 * (SIMILARITY * (1 - SIMILARITY) / FUNCTIONS) ** 0.5
 
 NODE = ("a", "b")
 _FACTORS = textvec.mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * np.uint64(7919)) | np.uint64(1)

@@ -185,6 +185,17 @@ def test_large_groups_are_split_and_compared_in_blocks(spark, monkeypatch):
     assert found == brute_join(rows)
 
 
+def test_links_whose_signatures_differ_much(spark):
+    need = math.ceil(jaccard_join.PLAUSIBLE * jaccard_join.FUNCTIONS)
+    missed = sum(math.comb(jaccard_join.FUNCTIONS, k) * 0.8**k * 0.2 ** (jaccard_join.FUNCTIONS - k) for k in range(need))
+    assert missed < 0.01 * 0.2 ** (jaccard_join.RUNS * jaccard_join.FANOUT)
+    rows = []
+    for i in (473, 8174, 35125):  # similarity 0.8, but 26, 27 and 26 of 48 functions agree
+        text = [f"w{i}x{k}" for k in range(49)]
+        rows += [(2 * i, " ".join(text), None), (2 * i + 1, " ".join([*text[:24], "changed", *text[25:]]), None)]
+    assert collections.Counter(tuple(r) for r in jaccard_join.join(frame(spark, rows)).collect()) == brute_join(rows)
+
+
 def test_one_of_each(spark):
     kept = [r.doc_id for r in jaccard_join.one_of_each(frame(spark)).collect()]
     classes = {c for _, c, _, _ in brute_join(corpus()) if c is not None}
