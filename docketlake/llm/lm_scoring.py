@@ -24,8 +24,8 @@ from docketlake.llm import textvec
 from docketlake.llm.blocks import block_table
 from docketlake.llm.common import read, small_batches, written
 
-#: Pieces longer than this many bytes are left out.
-LONGEST = 16
+#: Bound of a piece's bytes: none, so the lattice reaches as far as the vocabulary's longest piece.
+LONGEST = math.inf
 #: Rounds of expectation-maximisation, and the pseudo-count of each piece.
 ROUNDS, SMOOTH = 3, 0.01
 #: Words scored together hold at most about this many bytes.

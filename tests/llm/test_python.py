@@ -97,6 +97,25 @@ def test_lattice_adds_all_splits():
     assert np.allclose(lm_scoring.log_probabilities(pa.array(words, pa.binary()), pieces), [math.log(brute_lattice(w, weight)) for w in words])
 
 
+def test_long_pieces_count():
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, pieces = sentencepiece.SentencePieceProcessor(model_file=path), lm_scoring.Pieces.load(path)
+    plain = [model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    long = {p for p in plain if len(p) > 16 and b" " not in p[1:]}
+    assert len(long) == 20 and long <= set(pieces.pieces)
+    weight = dict(zip(pieces.pieces, np.exp(pieces.log_weight)))
+    words = [p[1:] if p.startswith(b" ") else b"x" + p for p in sorted(long)]
+    brute = []
+    for w in words:
+        alpha = [1.0]
+        for j in range(1, len(w) + 2):
+            alpha.append(sum(alpha[i] * weight.get((b" " + w)[i:j], 0.0) for i in range(j)))
+        brute.append(math.log(alpha[-1]))
+    assert np.allclose(lm_scoring.log_probabilities(pa.array(words, pa.binary()), pieces), brute)
+
+
 def test_expected_counts_explain_every_byte():
     pieces = lm_scoring.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
     cells = np.frombuffer(b" thention there  ", np.uint8)[:16].reshape(2, 8)
