@@ -1,9 +1,10 @@
 """Quality rules under weak supervision, in DataFrame functions only.
 
 Each rule votes *good* (1), *bad* (-1) or abstains (0). The rows of the vote table are counted by vote pattern (at
-most three to the power of the number of rules patterns, whatever the corpus), expectation-maximisation over the counted patterns estimates
-each rule's vote rates in either class, and the posterior probability of *good* decides instead of all rules having to
-pass.
+most three to the power of the number of rules, whatever the corpus), expectation-maximisation over the counted patterns
+estimates each rule's vote rates in either class, and the posterior probability of *good* decides instead of all rules
+having to pass: a single bad vote of a rule that others seldom confirm is outweighed, one that they confirm is not. So
+that rules can confirm each other, what is measured is judged at two severities where that makes sense.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Low bits of a packed window that hold its position; longer texts sort pairs instead of packed numbers.
 POSITION_BITS = 20
 
-#: The largest rate at which a rule may vote bad on good documents.
-ALARM = 0.002
-#: Bounds of the share of good documents.
-PRIOR = (0.5, 0.9)
+#: Documents believed in before any is counted, as a share of the corpus, so that estimation behaves alike at every size;
+#: the rates of votes on (good, bad) documents that they stand for, and their share of good documents.
+BELIEF, BELIEVED, GOOD = 0.05, {1: (0.6, 0.3), -1: (0.01, 0.3)}, 0.8
+#: Bounds of the share of good documents, far from what is estimated on real tables.
+PRIOR = (0.5, 0.98)
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marks", "n_distinct")
 
@@ -40,21 +42,22 @@ def _vote(bad: Column, good: Column) -> Column:
 
 
 
-
 def rules() -> dict[str, Column]:
     """Votes by rule name (a function, as columns need a running session)."""
     symbols, repeats = _rate("n_symbols", "n_words"), _rate("n_repeat_words", "n_words")
     lines, length = _rate("n_dup_lines", "n_lines"), _rate("word_chars", "n_words")
     upper, marks, distinct = _rate("n_upper", "n_letters"), _rate("n_marks", "n_words"), _rate("n_distinct", "n_words")
-    never = F.lit(False)
     return {
-        "symbols": _vote(symbols > 0.2, never),
-        "repeats": _vote(repeats > 0.45, never),
-        "lines": _vote((lines > 0.3) & (F.col("n_dup_lines") >= 3), never),
-        "capitals": _vote(upper > 0.3, never),
-        "marks": _vote(marks > 0.2, never),
-        "length": _vote((length < 2.5) | (length > 15), length.between(3.5, 11)),
-        "variety": _vote((distinct < 0.2) & (F.col("n_words") < 2000), distinct >= 0.35),
+        "symbols": _vote(symbols > 0.1, symbols <= 0.02),
+        "symbol_flood": _vote(symbols > 0.3, symbols <= 0.1),
+        "repeats": _vote(repeats > 0.2, repeats <= 0.05),
+        "repeat_flood": _vote(repeats > 0.45, repeats <= 0.2),
+        "lines": _vote(lines > 0.1, (F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 3)),
+        "line_flood": _vote((lines > 0.3) & (F.col("n_dup_lines") >= 3), lines <= 0.1),
+        "capitals": _vote(upper > 0.3, upper.between(0.002, 0.1)),
+        "marks": _vote(marks > 0.1, marks <= 0.02),
+        "length": _vote((length < 3) | (length > 10), length.between(4, 7)),
+        "variety": _vote((distinct < 0.3) & (F.col("n_words") < 2000), distinct >= 0.45),
     }
 
 
@@ -146,25 +149,25 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], names: list[str], roun
 
     The first expectation takes documents with a bad vote as bad, and others as good, with nine in ten certainty. Then
     each rule's rates of good and bad votes in either class, and the share of good documents, follow from the
-    posteriors, and these from the rates; an abstention counts for neither class. ``smooth`` pseudo-votes keep a rule
-    finite that never votes one way, a rule's rate of bad votes on good documents stays at or under ALARM (rules that
-    seldom fire together would otherwise explain each other away), and the prior stays within PRIOR. No pattern at all
-    (an empty corpus) gives the prior's upper bound and odds of one.
+    posteriors, and these from the rates; an abstention speaks for neither class. Each rate and the share also count
+    BELIEF times the corpus of documents as believed beforehand, which keeps a rule finite that never votes one way. No
+    pattern at all (an empty corpus) gives the prior's upper bound and odds of one.
     """
-    smooth, low, high = 1.0, *PRIOR
+    low, high = PRIOR
+    total = sum(n for _, n in patterns)
+    believed = BELIEF * total
     posterior = [0.1 if -1 in votes else 0.9 for votes, _ in patterns]
     prior, odds = high, [{1: 0.0, -1: 0.0} for _ in names]
     for _ in range(rounds if patterns else 0):
-        mass = {good: sum((p if good else 1 - p) * n for p, (_, n) in zip(posterior, patterns, strict=True)) + smooth for good in (True, False)}
+        mass = [sum(p * n for p, (_, n) in zip(posterior, patterns, strict=True))]
+        mass.append(total - mass[0])
         for j in range(len(names)):
-            rate = {
-                (good, v): (sum((p if good else 1 - p) * n for p, (votes, n) in zip(posterior, patterns, strict=True) if votes[j] == v) + smooth / 4) / mass[good]
-                for good in (True, False)
-                for v in (1, -1)
-            }
-            rate[True, -1] = min(rate[True, -1], ALARM)
-            odds[j] = {v: math.log(rate[True, v] / rate[False, v]) for v in (1, -1)}
-        prior = min(high, max(low, mass[True] / (mass[True] + mass[False])))
+            rate = {}
+            for v, before in BELIEVED.items():
+                cast = [sum(q * n for q, (votes, n) in zip(side, patterns, strict=True) if votes[j] == v) for side in (posterior, [1 - p for p in posterior])]
+                rate[v] = [(c + e * believed) / (m + believed) for c, e, m in zip(cast, before, mass, strict=True)]
+            odds[j] = {v: math.log(good / bad) for v, (good, bad) in rate.items()}
+        prior = min(high, max(low, (mass[0] + GOOD * believed) / (total + believed)))
         posterior = [1 / (1 + math.exp(-max(-500.0, min(500.0, math.log(prior / (1 - prior)) + sum(odds[j][v] for j, v in enumerate(votes) if v))))) for votes, _ in patterns]
     return VoteModel(prior, dict(zip(names, odds, strict=True)))
 
@@ -198,34 +201,36 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"), *[c for c in found.columns if c.startswith("vote_")])
 
 
-def _oracle(rounds: int = 25, smooth: float = 1.0) -> str:
+def _oracle(rounds: int = 25) -> str:
     """The measures, the votes and the rounds of expectation-maximisation, a pair of common tables for each round."""
     votes = {
-        "symbols": "CASE WHEN symbols > 0.2 THEN -1 ELSE 0 END",
-        "repeats": "CASE WHEN repeats > 0.45 THEN -1 ELSE 0 END",
-        "lines": "CASE WHEN lines > 0.3 AND n_dup_lines >= 3 THEN -1 ELSE 0 END",
-        "capitals": "CASE WHEN capitals > 0.3 THEN -1 ELSE 0 END",
-        "marks": "CASE WHEN marks > 0.2 THEN -1 ELSE 0 END",
-        "length": "CASE WHEN length < 2.5 OR length > 15 THEN -1 WHEN length BETWEEN 3.5 AND 11 THEN 1 ELSE 0 END",
-        "variety": "CASE WHEN variety < 0.2 AND n_words < 2000 THEN -1 WHEN variety >= 0.35 THEN 1 ELSE 0 END",
+        "symbols": "CASE WHEN symbols > 0.1 THEN -1 WHEN symbols <= 0.02 THEN 1 ELSE 0 END",
+        "symbol_flood": "CASE WHEN symbols > 0.3 THEN -1 WHEN symbols <= 0.1 THEN 1 ELSE 0 END",
+        "repeats": "CASE WHEN repeats > 0.2 THEN -1 WHEN repeats <= 0.05 THEN 1 ELSE 0 END",
+        "repeat_flood": "CASE WHEN repeats > 0.45 THEN -1 WHEN repeats <= 0.2 THEN 1 ELSE 0 END",
+        "lines": "CASE WHEN lines > 0.1 THEN -1 WHEN n_dup_lines = 0 AND n_lines >= 3 THEN 1 ELSE 0 END",
+        "line_flood": "CASE WHEN lines > 0.3 AND n_dup_lines >= 3 THEN -1 WHEN lines <= 0.1 THEN 1 ELSE 0 END",
+        "capitals": "CASE WHEN capitals > 0.3 THEN -1 WHEN capitals BETWEEN 0.002 AND 0.1 THEN 1 ELSE 0 END",
+        "marks": "CASE WHEN marks > 0.1 THEN -1 WHEN marks <= 0.02 THEN 1 ELSE 0 END",
+        "length": "CASE WHEN length < 3 OR length > 10 THEN -1 WHEN length BETWEEN 4 AND 7 THEN 1 ELSE 0 END",
+        "variety": "CASE WHEN variety < 0.3 AND n_words < 2000 THEN -1 WHEN variety >= 0.45 THEN 1 ELSE 0 END",
     }
     names, (low, high) = list(votes), PRIOR
     any_bad = " OR ".join(f"vote_{n} = -1" for n in names)
     steps = [f"p0 AS MATERIALIZED (SELECT *, CASE WHEN {any_bad} THEN 0.1::DOUBLE ELSE 0.9::DOUBLE END AS p FROM pat)"]
+    mass = lambda weight, where: f"coalesce((sum({weight} * n) FILTER ({where}))::DOUBLE, 0)"
     for k in range(rounds):
-        rates = []
+        rates, odds = [f"{BELIEF} * sum(n)::DOUBLE AS believed", "sum(n)::DOUBLE AS total", "sum(p * n)::DOUBLE AS good"], []
         for n in names:
-            for v, tag in ((1, "up"), (-1, "down")):
-                good = f"((sum(p * n) FILTER (vote_{n} = {v}))::DOUBLE)"
-                bad = f"((sum((1 - p) * n) FILTER (vote_{n} = {v}))::DOUBLE)"
-                top = f"(coalesce({good}, 0) + {smooth / 4}) / (sum(p * n) + {smooth})"
-                top = f"least({top}, {ALARM})" if v == -1 else top
-                rates.append(f"ln(({top}) / ((coalesce({bad}, 0) + {smooth / 4}) / (sum((1 - p) * n) + {smooth}))) AS {n}_{tag}")
-        prior = f"least({high}, greatest({low}, (sum(p * n) + {smooth}) / (sum(n) + {2 * smooth})))"
-        steps.append(f"m{k + 1} AS MATERIALIZED (SELECT {prior}::DOUBLE AS prior, {', '.join(rates)} FROM p{k})")
-        odds = " + ".join(f"CASE vote_{n} WHEN 1 THEN {n}_up WHEN -1 THEN {n}_down ELSE 0 END" for n in names)
+            rates += [f"{mass(w, f'vote_{n} = {v}')} AS {n}_{tag}" for w, v, tag in (("p", -1, "gd"), ("p", 1, "gu"), ("(1 - p)", -1, "bd"), ("(1 - p)", 1, "bu"))]
+            for v, tag in ((1, "u"), (-1, "d")):
+                good, bad = (f"(({n}_{c}{tag} + {before} * believed) / ({whole} + believed))" for c, before, whole in zip("gb", BELIEVED[v], ("good", "(total - good)"), strict=True))
+                odds.append(f"ln({good} / {bad}) AS {n}_{'up' if v == 1 else 'down'}")
+        prior = f"least({high}, greatest({low}, (good + {GOOD} * believed) / (total + believed)))::DOUBLE AS prior"
+        steps.append(f"m{k + 1} AS MATERIALIZED (SELECT {prior}, {', '.join(odds)} FROM (SELECT {', '.join(rates)} FROM p{k}))")
+        sums = " + ".join(f"CASE vote_{n} WHEN 1 THEN {n}_up WHEN -1 THEN {n}_down ELSE 0 END" for n in names)
         columns = ", ".join([*[f"vote_{n}" for n in names], "n"])
-        steps.append(f"p{k + 1} AS MATERIALIZED (SELECT {columns}, 1 / (1 + exp(-(ln(prior / (1 - prior)) + {odds}))) AS p FROM p{k}, m{k + 1})")
+        steps.append(f"p{k + 1} AS MATERIALIZED (SELECT {columns}, 1 / (1 + exp(-(ln(prior / (1 - prior)) + {sums}))) AS p FROM p{k}, m{k + 1})")
     same = " AND ".join(f"v.vote_{n} = q.vote_{n}" for n in names)
     rate = lambda a, b: f"CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0.0 END"
     return rf"""

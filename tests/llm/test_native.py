@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import gzip
 import hashlib
+import math
 import re
 
 import pytest
@@ -60,6 +61,38 @@ def test_labelled_quality(spark):
     assert wrong <= 0.01 * judged.count()
 
 
+def test_posterior_decides_otherwise_than_all_rules_passing(spark):
+    labels = read(spark, "/root/testdata/sf0.1", "labels").select("doc_id", F.col("quality").alias("label"))
+    judged = quality_rules.op8_quality_rules(spark, "/root/testdata/sf0.1").where("not base_failed")
+    votes = [F.col(c) for c in judged.columns if c.startswith("vote_")]
+    rows = judged.withColumn("passed", F.least(*votes) > -1).join(labels, "doc_id", "left").select("passed", "kept", "label", "quality").collect()
+    assert sum(not r.passed and r.kept for r in rows) > 100 and sum(not r.passed and not r.kept for r in rows) > 100
+    known = [r for r in rows if r.label is not None]
+    assert sum(r.kept != (r.label == 1) for r in known) < 0.5 * sum(r.passed != (r.label == 1) for r in known)
+    assert not any(r.passed and r.quality < 0.9 for r in rows)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_bounds_do_not_decide_at_any_size(spark, sf):
+    voted = quality_rules.judge(read(spark, f"/root/testdata/{sf}", "documents"))
+    names = [c for c in voted.columns if c.startswith("vote_")]
+    counted = voted.groupBy(*names).count().collect()
+    model = quality_rules.estimate(sorted((tuple(r[:-1]), r[-1]) for r in counted), names)
+    assert 0.8 < model.prior < 0.9
+    long_clean = voted.where("n_words > 1500 and vote_symbols = 1 and vote_lines = 1 and vote_marks = 1 and vote_repeats = 1").agg(F.min("quality")).first()[0]
+    assert long_clean is None or long_clean > 0.9
+
+
+def test_rules_that_others_confirm_outweigh_those_that_they_do_not():
+    patterns = [((1, 1, 1), 900), ((-1, -1, 1), 60), ((1, 1, -1), 40)]
+    model = quality_rules.estimate(patterns, ["a", "b", "lone"])
+    assert model.log_odds["a"][-1] < model.log_odds["lone"][-1] < 0
+    odds = lambda votes: math.log(model.prior / (1 - model.prior)) + sum(model.log_odds[n][v] for n, v in zip(("a", "b", "lone"), votes))
+    assert odds((1, 1, -1)) > 0 > odds((-1, -1, 1))
+    tenfold = quality_rules.estimate([(v, 10 * n) for v, n in patterns], ["a", "b", "lone"])
+    assert tenfold.log_odds["a"][-1] == pytest.approx(model.log_odds["a"][-1])
+
+
 def brute_spans(text: str | None) -> list[tuple]:
     found = []
     for order, rule in enumerate(secret_scan.RULES):
