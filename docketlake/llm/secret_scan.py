@@ -1,20 +1,28 @@
 """Secret scans over a trigram inverted index, in DataFrame functions only.
 
-Each rule's regular expression gives a Boolean trigram query: trigrams that any match must hold. The index keeps the
-postings (trigram, document) of the trigrams that some query names; intersecting them leaves a rule's candidates, and
-only these are verified with the expression itself. Rules without a mandatory trigram scan every text.
+Each rule's regular expression gives a Boolean trigram query: trigrams that any match must hold. The index is stored: a
+copy of the texts in cells of CELL rows, and for each named trigram its postings, a bit mask of rows for each cell that
+holds it. Intersecting postings (masks, bit by bit) leaves a rule's candidates, and only these are verified with the
+expression itself, where their texts lie: candidates travel, texts do not. Rules without a mandatory trigram scan every
+text.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from re import _constants as op
 from re import _parser as parser
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import read
+from docketlake.llm.common import read, scratch, written
+
+#: Rows of a cell: one bit of a long each.
+CELL_BITS = 6
+#: Cells with candidates that are broadcast at a time (some 100 bytes each); more of them take several rounds.
+BROADCAST_CELLS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -129,21 +137,89 @@ def trigram_query(pattern: str) -> Query:
     return _both(query, ANY if strings is None else _strings(strings))
 
 
-def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """The index: a row (trigram, doc_id) for each named trigram that a document's lower-case text holds."""
-    low = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    held = F.array_compact(F.array(*[F.when(F.contains(F.col("_low"), F.lit(t)), F.lit(t)) for t in trigrams]))
-    return docs.select("doc_id", low.alias("_low")).select("doc_id", F.explode(held).alias("trigram"))
+def named(rules: tuple[Rule, ...]) -> list[str]:
+    """The trigrams that the rules' queries name."""
+    return sorted({t for r in rules for alternative in trigram_query(r.pattern) for t in alternative})
+
+
+def postings(texts: DataFrame, trigrams: list[str]) -> DataFrame:
+    """``(trigram, cell, rows)``: for each named trigram and cell, the rows whose lower-case text holds it, as a mask."""
+    held = F.array_compact(F.array(*[F.when(F.contains(F.col("_low"), F.lit(t)), F.lit(t)) for t in trigrams])) if trigrams else F.array().cast("array<string>")
+    each = texts.select("cell", "bit", F.lower("text").alias("_low")).select("cell", "bit", F.explode(held).alias("trigram"))
+    return each.groupBy("trigram", "cell").agg(F.bit_or("bit").alias("rows"))
 
 
-def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``(doc_id, kinds)``: documents that satisfy the trigram query of some rule, and which rules these are."""
-    spark = docs.sparkSession
-    terms = [(r.kind, f"{r.kind}.{i}", t, len(c)) for r in rules if (q := trigram_query(r.pattern)) != ANY for i, c in enumerate(sorted(map(sorted, q))) for t in c]
-    named = spark.createDataFrame(terms, "kind string, alternative string, trigram string, needed int")
-    index = postings(docs, sorted({t for _, _, t, _ in terms}))
-    met = index.join(F.broadcast(named), "trigram").groupBy("doc_id", "kind", "alternative").agg(F.count_distinct("trigram").alias("n"), F.first("needed").alias("needed"))
-    return met.where("n = needed").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
+@dataclass(frozen=True)
+class Index:
+    """A stored index: texts (cell, bit, doc_id, text), their postings, and the trigrams that have some."""
+
+    texts: DataFrame
+    postings: DataFrame
+    trigrams: frozenset[str]
+
+    @classmethod
+    def build(cls, docs: DataFrame, path: str, trigrams: list[str] | None = None) -> Index:
+        """Index ``docs`` under ``path``. Null text is empty; rows are told apart by place, so ids may repeat or be null."""
+        spark, trigrams = docs.sparkSession, named(RULES) if trigrams is None else trigrams
+        at = docs.select(F.monotonically_increasing_id().alias("_at"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+        bit = F.expr(f"shiftleft(1L, cast(_at & {(1 << CELL_BITS) - 1} as int))")
+        at.select(F.shiftright("_at", CELL_BITS).alias("cell"), bit.alias("bit"), "doc_id", "text").write.option("compression", "zstd").parquet(f"{path}/texts")
+        spark.range(1).select(F.array(*[F.lit(t) for t in trigrams]).cast("array<string>").alias("trigrams")).write.parquet(f"{path}/trigrams")
+        postings(spark.read.parquet(f"{path}/texts"), trigrams).sortWithinPartitions("trigram", "cell").write.parquet(f"{path}/postings")
+        return cls.open(spark, path)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> Index:
+        trigrams = spark.read.parquet(f"{path}/trigrams").first()[0]
+        return cls(spark.read.parquet(f"{path}/texts"), spark.read.parquet(f"{path}/postings"), frozenset(trigrams))
+
+    def candidates(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """``(cell, masks)``: for each cell with a candidate, the rows that satisfy each rule's query, by the rules' order.
+
+        The mask of a rule without mandatory trigrams is 0, as it asks for every row.
+        """
+        wanted = named(rules)
+        if missing := sorted(set(wanted) - self.trigrams):
+            raise ValueError(f"the index has no postings of {missing}")
+        none = F.lit(0).cast("long")
+
+        def mask(rule: Rule) -> Column:
+            alternatives = sorted(map(sorted, trigram_query(rule.pattern)))
+            if [] in alternatives:
+                return none
+            every = [reduce(Column.bitwiseAND, [F.col(f"t{wanted.index(t)}") for t in x]) for x in alternatives]
+            return reduce(Column.bitwiseOR, every)
+
+        if not wanted:
+            return self.postings.where(F.lit(False)).select("cell", F.array(*[none for _ in rules]).alias("masks"))
+        held = [F.coalesce(F.bit_or(F.when(F.col("trigram") == t, F.col("rows"))), none).alias(f"t{k}") for k, t in enumerate(wanted)]
+        by_cell = self.postings.where(F.col("trigram").isin(wanted)).groupBy("cell").agg(*held)
+        return by_cell.select("cell", F.array(*map(mask, rules)).alias("masks")).where(F.exists("masks", lambda m: m != 0))
+
+    def scan(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """Per row: doc_id, text and ``found``, the spans of all rules by start, then by the rules' order."""
+        spark = self.texts.sparkSession
+        met = written(self.candidates(rules), "candidate-cells")
+        if met.count() <= BROADCAST_CELLS:
+            return verified(self.texts, F.broadcast(met), rules)
+        # a round takes files of the texts, whose rows lie in order, as long as their cells may be broadcast together
+        files = self.texts.select("_metadata.file_path", "cell").groupBy("file_path").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi"))
+        here = F.shiftright("cell", 33 - CELL_BITS)  # the partition that wrote the row: at most as many as files
+        cells = {r[0]: r[1] for r in met.groupBy(here).count().collect()}
+        rounds: list[tuple[list[str], int, int, int]] = []
+        for r in files.orderBy("lo").collect():
+            n = cells.get(r.lo >> (33 - CELL_BITS), 0)
+            if rounds and rounds[-1][3] + n <= BROADCAST_CELLS:
+                paths, lo, _, before = rounds.pop()
+                rounds.append(([*paths, r.file_path], lo, r.hi, before + n))
+            else:
+                rounds.append(([r.file_path], r.lo, r.hi, n))
+        path = scratch(spark, "verified")
+        for paths, lo, hi, n in rounds:
+            part = met.where(F.col("cell").between(lo, hi))
+            texts = spark.read.schema(self.texts.schema).parquet(*paths)
+            verified(texts, F.broadcast(part) if n <= BROADCAST_CELLS else part, rules).write.mode("append").parquet(path)
+        return spark.read.parquet(path)
 
 
 def spans(text: Column, rule: Rule, order: int) -> Column:
@@ -167,21 +243,22 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
     return F.aggregate(F.filter(parts, lambda x: x["size"].isNotNull()), zero, step, lambda state: state["spans"])
 
 
+def verified(texts: DataFrame, candidates: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """The spans of each text's candidate rules, and of those rules that ask for every text."""
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    joined = texts.join(candidates, "cell", "left")
+    asked = lambda i: F.get("masks", F.lit(i)).bitwiseAND(F.col("bit")) != 0
+    each = [spans(F.col("text"), r, i) if trigram_query(r.pattern) == ANY else F.when(asked(i), spans(F.col("text"), r, i)).otherwise(none) for i, r in enumerate(rules)]
+    return joined.select("doc_id", "text", F.array_sort(F.concat(*each)).alias("found"))
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per row of ``docs``: doc_id, text and ``found``, the spans of all rules by start, then by the rules' order.
 
-    Null text is empty; rows with the same doc_id (null included) share their candidates and are verified each on its
-    own text; an empty table gives no rows. Only doc_id and text are read.
+    Null text is empty; each row is verified on its own text, whether or not its doc_id repeats or is null; an empty
+    table gives no rows. Only doc_id and text are read. The index is kept in the shared folder until ``discard``.
     """
-    docs = docs.select("doc_id", "text")
-    hits = candidates(docs, rules).select(F.col("doc_id").alias("_id"), "kinds")
-    joined = docs.join(hits.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), "kinds")
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    each = [
-        spans(F.col("text"), r, i) if trigram_query(r.pattern) == ANY else F.when(F.array_contains("kinds", r.kind), spans(F.col("text"), r, i)).otherwise(none)
-        for i, r in enumerate(rules)
-    ]
-    return joined.select("doc_id", "text", F.array_sort(F.concat(*each)).alias("found"))
+    return Index.build(docs.select("doc_id", "text"), scratch(docs.sparkSession, "trigram-index"), named(rules)).scan(rules)
 
 
 def listed(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:

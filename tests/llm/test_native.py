@@ -117,6 +117,35 @@ def test_secret_spans(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_index_is_stored_and_serves_other_rules(spark, tmp_path):
+    rows = SECRETS + corpus()
+    path = f"file://{tmp_path}/index"
+    built = secret_scan.Index.build(frame(spark, rows).select("doc_id", "text"), path)
+    some = tuple(r for r in secret_scan.RULES if r.kind in ("assign", "chat"))
+    index = secret_scan.Index.open(spark, path)
+    found = collections.Counter((r.doc_id, tuple((x.start, some[x.kind].kind, x.end) for x in r.found)) for r in index.scan(some).collect())
+    kinds = [r.kind for r in secret_scan.RULES]
+    assert found == collections.Counter((d, tuple((a, kinds[k], b) for a, k, b in brute_spans(t) if kinds[k] in ("assign", "chat"))) for d, t, _ in rows)
+    low = collections.Counter(t for _, x, _ in rows for t in built.trigrams if t in (x or "").lower())
+    assert {r.trigram: r.n for r in index.postings.groupBy("trigram").agg(F.sum(F.bit_count("rows")).alias("n")).collect()} == low
+    with pytest.raises(ValueError, match="no postings"):
+        index.candidates((secret_scan.Rule("other", "zyxwv"),))
+
+
+@pytest.mark.parametrize("bound", [0, 1, 2])
+def test_candidates_beyond_the_broadcast_bound_take_rounds(spark, monkeypatch, bound):
+    monkeypatch.setattr(secret_scan, "CELL_BITS", 2)
+    monkeypatch.setattr(secret_scan, "BROADCAST_CELLS", bound)
+    rows = SECRETS * 3 + corpus()
+    found = collections.Counter((r.doc_id, tuple(tuple(x) for x in r.found)) for r in secret_scan.scan(frame(spark, rows)).collect())
+    assert found == collections.Counter((d, tuple(brute_spans(t))) for d, t, _ in rows)
+
+
+def test_texts_stay_where_they_lie(spark):
+    plan = secret_scan.scan(frame(spark, SECRETS))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_base_digest(spark):
     base = {"assign": r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+"}
     least = {"assign": (2, 12), "access": (0, 18), "hex": (0, 16)}
