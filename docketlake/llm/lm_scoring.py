@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketlake.llm import textvec
-from docketlake.llm.blocks import block_table
-from docketlake.llm.common import read, small_batches, written
+from docketlake.llm.blocks import block_files, load, spread
+from docketlake.llm.common import read, written
 
 #: Bound of a piece's bytes: none, so the lattice reaches as far as the vocabulary's longest piece.
 LONGEST = math.inf
@@ -198,25 +198,27 @@ def scored(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> DataFrame:
     over the one unseen token and the lattice keeps the vocabulary's weights; an empty table gives no rows. Only doc_id
     and text are read. Word counts of the whole training part are gathered, without cutting rare words.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    table = block_table(docs, rows_log2=10).withColumn("held", is_held_out(F.col("doc_id")))
-    totals = table.agg(F.sum(F.length("text")), F.sum(F.when(~F.col("held"), 1).otherwise(0))).first()
-    slices, train_docs = max(LEAST_SLICES, (totals[0] or 0) // 32 // SLICE_WORDS), int(totals[1] or 0)
-
-    def count(block: pa.Table) -> pa.Table:
-        tokens = BlockTokens(block)
-        learnt = ~block["held"].to_numpy()[tokens.rows]
-        counts = np.bincount(tokens.index[learnt], minlength=len(tokens.words))
-        parts = list(tokens.slices(slices))
-        return pa.table(
-            {
-                "slice": pa.array([s for s, _ in parts], pa.int64()),
-                "block": pa.array([block["block"][0].as_py()] * len(parts), pa.int64()),
-                "words": _list_column([tokens.words.take(pa.array(p)) for _, p in parts], pa.binary()),
-                "counts": _list_column([pa.array(counts[p], pa.int64()) for _, p in parts], pa.int64()),
-            }
-        )
+    rows = docs.select("doc_id", "text").withColumn("held", is_held_out(F.col("doc_id").cast("long")))
+    blocks = block_files(rows)
+    train_docs = rows.where(~F.col("held")).count()
+    n_blocks, size = blocks.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    slices = max(LEAST_SLICES, size // 32 // SLICE_WORDS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, path in zip(batch.column("block").to_pylist(), batch.column("path").to_pylist(), strict=True):
+                tokens = BlockTokens(load(path))
+                learnt = ~tokens.block["held"].to_numpy()[tokens.rows]
+                counts = np.bincount(tokens.index[learnt], minlength=len(tokens.words))
+                parts = list(tokens.slices(slices))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "slice": pa.array([s for s, _ in parts], pa.int64()),
+                        "block": pa.array([number] * len(parts), pa.int64()),
+                        "words": _list_column([tokens.words.take(pa.array(p)) for _, p in parts], pa.binary()),
+                        "counts": _list_column([pa.array(counts[p], pa.int64()) for _, p in parts], pa.int64()),
+                    }
+                )
 
     def add(group: pa.Table) -> pa.Table:
         coded = _words_of(group).dictionary_encode()
@@ -230,7 +232,8 @@ def scored(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> DataFrame:
             }
         )
 
-    asked = written(table.select("block", "doc_id", "text", "held").groupBy("block").applyInArrow(count, "slice long, block long, words array<binary>, counts array<long>"), "block-words")
+    listed = spread(blocks.select("block", "path"), n_blocks)
+    asked = written(listed.mapInArrow(count, "slice long, block long, words array<binary>, counts array<long>"), "block-words")
     known = written(asked.groupBy("slice").applyInArrow(add, "slice long, words array<binary>, counts array<long>"), "word-counts")
     n_words, n_distinct = known.agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)), F.sum(F.size("words"))).first()
     train_tokens, distinct = int(n_words or 0) + train_docs, int(n_distinct or 0) + (train_docs > 0)
@@ -262,7 +265,8 @@ def scored(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> DataFrame:
     log_end = pieces.log_end / math.log(10)
     base_end = math.log10(train_docs + BASE_ADD) - floor
 
-    def score(block: pa.Table, reply: pa.Table) -> pa.Table:
+    def score(listed: pa.Table, reply: pa.Table) -> pa.Table:
+        block = load(listed["path"][0].as_py())
         tokens = BlockTokens(block)
         n = block.num_rows
         times, logs = np.zeros(len(tokens.words), np.int64), np.zeros(len(tokens.words))
@@ -286,7 +290,7 @@ def scored(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> DataFrame:
         )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return table.select("block", "doc_id", "text", "held").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)
+    return listed.groupBy("block").cogroup(spread(answers, n_blocks).groupBy("block")).applyInArrow(score, schema)
 
 
 def fitted(known: DataFrame, pieces: Pieces, train_docs: int, rounds: int) -> Pieces:

@@ -1,9 +1,10 @@
 """Removal of repeated passages: windows of WINDOW words that occur again, found behind a count-min prefilter.
 
 First pass: every window is stood for by its minimiser, the least of the hashes of the SHORT-word runs inside it; equal
-windows have equal minimisers. Each block of documents counts its minimisers, and count-min sketches, one for each
-slice of the hash space, add the blocks' parts up. A sketch never reports too little, so a window whose minimiser is
-not estimated repeated occurs once. Second pass: only the other windows are grouped, by a 64-bit hash within slices
+windows have equal minimisers, so counting these instead loses no repeated window. Each block of documents counts its
+minimisers in a count-min sketch, of a fixed width for each slice of the hash space; only counters leave the block, and
+the sketches of all blocks are merged by addition. A sketch never reports too little, so a window whose minimiser is not
+estimated repeated occurs once. Second pass: only the other windows are grouped, by a 64-bit hash within slices
 dealt by a second hash, and all but the first in order of (doc_id, place) are removed. A window that a block
 holds several times leaves the block once, so that no window can fill a task.
 """
@@ -11,7 +12,8 @@ holds several times leaves the block once, so that no window can fill a task.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketlake.llm import textvec
-from docketlake.llm.blocks import block_table
+from docketlake.llm.blocks import block_files, load, spread
 from docketlake.llm.common import WORD, read
 
 #: Words of a window, and of the runs whose least hash stands for it.
 WINDOW, SHORT = 20, 10
 #: Minimisers that a slice of the hash space gets on average, and the least number of slices.
-SLICE_ITEMS, LEAST_SLICES = 1 << 17, 64
-#: A count-min sketch has DEPTH rows, each with this many counters for each item.
-DEPTH, COUNTERS = 2, 4
+SLICE_ITEMS, LEAST_SLICES = 1 << 20, 64
+#: A slice's count-min sketch has DEPTH rows of WIDTH counters (a power of two), four for each item on average.
+DEPTH, WIDTH = 2, 4 * SLICE_ITEMS
 
 
 class BlockWords:
@@ -76,60 +78,83 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
 
 
-def sketch_counters(hashes: np.ndarray, width: int) -> np.ndarray:
-    """The counter of each hash in each row of a sketch of ``width`` (a power of two) counters a row."""
-    return np.stack([textvec.mix(hashes + np.uint64(k + 1)) & np.uint64(width - 1) for k in range(DEPTH)]).astype(np.int64)
+def counters(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """The counter of each hash in each row of a sketch, numbered through the rows."""
+    return np.stack([(textvec.mix(hashes + np.uint64(k + 1)) & np.uint64(width - 1)) + np.uint64(k * width) for k in range(DEPTH)]).astype(np.int64)
 
 
-def estimates(blocks: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+@dataclass(frozen=True)
+class Sketch:
+    """A count-min sketch that holds few of its counters: their numbers, ascending, and their values."""
+
+    at: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, counts: np.ndarray, width: int = WIDTH) -> Sketch:
+        at, inverse = np.unique(counters(hashes, width), return_inverse=True)
+        return cls(at, np.bincount(inverse.ravel(), np.tile(counts, DEPTH), len(at)).astype(np.int64))
+
+
+def merged(sketches: Iterable[Sketch], width: int = WIDTH) -> np.ndarray:
+    """The sum of sketches, with all its counters."""
+    total = np.zeros(DEPTH * width, np.int32)
+    for sketch in sketches:
+        total[sketch.at] += sketch.value.astype(np.int32)
+    return total
+
+
+def estimates(blocks: list[tuple[np.ndarray, np.ndarray]], width: int = WIDTH) -> list[np.ndarray]:
     """Count-min estimates of the hashes of each block, from the merged sketches of all blocks' (hashes, counts)."""
-    total = sum(len(h) for h, _ in blocks)
-    width = 1 << max(10, (COUNTERS * total).bit_length())
-    merged, places = np.zeros((DEPTH, width), np.int64), []
-    for hashes, counts in blocks:
-        places.append(sketch_counters(hashes, width))
-        for row, at in zip(merged, places[-1], strict=True):
-            np.add.at(row, at, counts)
-    return [np.min([row[at] for row, at in zip(merged, where, strict=True)], axis=0) for where in places]
+    total = merged((Sketch.of(h, c, width) for h, c in blocks), width)
+    return [total[counters(h, width)].min(axis=0) for h, _ in blocks]
 
 
-def repeated_words(table: DataFrame, slices: int) -> DataFrame:
-    """``(block, first, size)``: for each block, runs of window starts to remove, as word numbers within the block."""
+def sketches(blocks: DataFrame, slices: int, n_blocks: int) -> DataFrame:
+    """``(slice, block, at, value)``: the sketch of each block's minimisers, by slice of the hash space."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, path in zip(batch.column("block").to_pylist(), batch.column("path").to_pylist(), strict=True):
+                least, place = BlockWords(load(path)).minimisers()
+                _, once = np.unique(place, return_index=True)
+                hashes, counts = np.unique(least[once], return_counts=True)
+                found = [(s, Sketch.of(hashes[p], counts[p])) for s, p in _grouped((hashes % np.uint64(slices)).astype(np.int64))]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "slice": pa.array([s for s, _ in found], pa.int64()),
+                        "block": pa.array([number] * len(found), pa.int64()),
+                        "at": _lists([x.at.astype(np.int32) for _, x in found], pa.int32()),
+                        "value": _lists([x.value.astype(np.int32) for _, x in found], pa.int32()),
+                    }
+                )
+
+    return spread(blocks.select("block", "path"), n_blocks).mapInArrow(count, "slice long, block long, at array<int>, value array<int>")
 
-    def count(block: pa.Table) -> pa.Table:
-        words = BlockWords(block)
-        least, place = words.minimisers()
-        _, once = np.unique(place, return_index=True)
-        hashes, counts = np.unique(least[once], return_counts=True)
-        found = list(_grouped((hashes % np.uint64(slices)).astype(np.int64)))
-        number = block["block"][0].as_py()
-        return pa.table(
-            {
-                "slice": pa.array([s for s, _ in found], pa.int64()),
-                "block": pa.array([number] * len(found), pa.int64()),
-                "hashes": _lists([hashes[p].view(np.int64) for _, p in found], pa.int64()),
-                "counts": _lists([counts[p].astype(np.int32) for _, p in found], pa.int32()),
-            }
-        )
+
+def repeated_words(blocks: DataFrame, slices: int, n_blocks: int) -> DataFrame:
+    """``(block, first, size)``: for each block, runs of window starts to remove, as word numbers within the block."""
 
     def estimate(group: pa.Table) -> pa.Table:
-        column = lambda name, kind: [np.asarray(v.values).astype(kind, copy=False) if len(v) else np.zeros(0, kind) for v in group[name]]
-        parts = [(h.view(np.uint64), c) for h, c in zip(column("hashes", np.int64), column("counts", np.int64), strict=True)]
-        often = [np.packbits(e > 1).tobytes() for e in estimates(parts)]
+        column = lambda name: [np.asarray(v.values) if len(v) else np.zeros(0, np.int32) for v in group[name]]
+        places = column("at")
+        total = merged(map(Sketch, places, column("value")))
+        often = [np.packbits(total[at] > 1).tobytes() for at in places]
         return pa.table({"slice": group["slice"], "block": group["block"], "often": pa.array(often, pa.binary())})
 
-    def group_windows(block: pa.Table, reply: pa.Table) -> pa.Table:
+    def group_windows(listed: pa.Table, reply: pa.Table) -> pa.Table:
         empty = pa.table({n: pa.array([], t) for n, t in (("slice", pa.int64()), ("block", pa.int64()), ("hashes", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("valid", pa.list_(pa.bool_())), ("words", pa.list_(pa.int32())), ("own", pa.list_(pa.int32())))})
-        if not block.num_rows or not reply.num_rows:
+        if not listed.num_rows or not reply.num_rows:
             return empty
-        words = BlockWords(block)
+        words = BlockWords(load(listed["path"][0].as_py()))
         least, _ = words.minimisers()
         hashes, back = np.unique(least, return_inverse=True)
-        slice_of = (hashes % np.uint64(slices)).astype(np.int64)
         often = np.zeros(len(hashes), bool)
         by_slice = dict(zip(reply["slice"].to_pylist(), reply["often"].to_pylist(), strict=True))
-        for s, part in _grouped(slice_of):
-            often[part] = np.unpackbits(np.frombuffer(by_slice[s], np.uint8), count=len(part)).astype(bool)
+        for s, part in _grouped((hashes % np.uint64(slices)).astype(np.int64)):
+            at, inverse = np.unique(counters(hashes[part]), return_inverse=True)
+            bits = np.unpackbits(np.frombuffer(by_slice[s], np.uint8), count=len(at)).astype(bool)
+            often[part] = bits[inverse.reshape(DEPTH, -1)].all(axis=0)
         candidates = np.flatnonzero(often[back])
         _, first = np.unique(words.windows[candidates], return_index=True)
         leaders = candidates[np.sort(first)]
@@ -144,7 +169,7 @@ def repeated_words(table: DataFrame, slices: int) -> DataFrame:
         return pa.table(
             {
                 "slice": pa.array(keys, pa.int64()),
-                "block": pa.array([block["block"][0].as_py()] * len(keys), pa.int64()),
+                "block": pa.array([listed["block"][0].as_py()] * len(keys), pa.int64()),
                 "hashes": _lists([words.windows[lead[s]].view(np.int64) for s in keys], pa.int64()),
                 "ids": _lists([ids[doc(lead[s])] for s in keys], pa.int64()),
                 "valid": _lists([valid[doc(lead[s])] for s in keys], pa.bool_()),
@@ -173,14 +198,18 @@ def repeated_words(table: DataFrame, slices: int) -> DataFrame:
             size.append(np.diff(head, append=len(starts)).astype(np.int32))
         return pa.table({"block": group["block"], "first": _lists(first, pa.int32()), "size": _lists(size, pa.int32())})
 
-    counted = table.select("block", "place", "doc_id", "text").groupBy("block").applyInArrow(count, "slice long, block long, hashes array<long>, counts array<int>")
-    replies = counted.groupBy("slice").applyInArrow(estimate, "slice long, block long, often binary")
-    windows = table.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+    replies = sketches(blocks, slices, n_blocks).groupBy("slice").applyInArrow(estimate, "slice long, block long, often binary")
+    windows = by_block(blocks, replies, n_blocks).applyInArrow(
         group_windows, "slice long, block long, hashes array<long>, ids array<long>, valid array<boolean>, words array<int>, own array<int>"
     )
     return windows.groupBy("slice").applyInArrow(judge, "block long, first array<int>, size array<int>")
 
 
+def by_block(blocks: DataFrame, rows: DataFrame, n_blocks: int):
+    """The list of blocks beside what is known of each."""
+    return spread(blocks.select("block", "path"), n_blocks).groupBy("block").cogroup(spread(rows, n_blocks).groupBy("block"))
+
+
 def deduplicated(docs: DataFrame, texts: bool = True) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 and, with ``texts``, the kept words as text.
 
@@ -189,13 +218,13 @@ def deduplicated(docs: DataFrame, texts: bool = True) -> DataFrame:
     Texts shorter than a window, empty and null ones keep all words; an empty table gives no rows. Only doc_id and text
     are read.
     """
-    table = block_table(docs)
-    size = table.agg(F.sum(F.length("text"))).first()[0] or 0
-    slices = max(LEAST_SLICES, size // 36 // SLICE_ITEMS)  # about one minimiser for 36 characters
-    runs = repeated_words(table, slices)
+    blocks = block_files(docs.select("doc_id", "text"))
+    n_blocks, size = blocks.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    slices = max(LEAST_SLICES, size // 36 // SLICE_ITEMS)  # about one minimiser for 36 bytes
+    runs = repeated_words(blocks, slices, n_blocks)
 
-    def assemble(block: pa.Table, found: pa.Table) -> pa.Table:
-        words = BlockWords(block)
+    def assemble(listed: pa.Table, found: pa.Table) -> pa.Table:
+        words = BlockWords(load(listed["path"][0].as_py()))
         n = len(words.starts)
         edges = np.zeros(n + 1, np.int64)
         flat = lambda name: found[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -220,7 +249,7 @@ def deduplicated(docs: DataFrame, texts: bool = True) -> DataFrame:
         return pa.table(out | ({"kept_text": pa.array(kept, pa.string())} if texts else {}))
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if texts else "")
-    return table.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(assemble, schema)
+    return by_block(blocks, runs, n_blocks).applyInArrow(assemble, schema)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
