@@ -23,6 +23,8 @@ from docketlake.llm.common import read, small_batches, written
 FEATURES, WIDTH, RIDGE, SEED = 256, 3.0, 1e-4, 20240501
 #: Raw scores are calibrated in bins over this range.
 BINS, LOW, HIGH = 2048, -0.5, 1.5
+#: Sums that a task of the tree of additions gets, and those left to the driver.
+FAN_IN, LAST = 16, 8
 #: Standardised statistics are cut off here.
 FARTHEST = 6.0
 
@@ -120,17 +122,21 @@ def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(n), total / weight) for total, weight, n in pools]) if pools else np.zeros(0)
 
 
-def _added(parts: DataFrame, n: int) -> np.ndarray:
-    """The sum of equally long vectors, one a row in column ``v``: summed in few tasks, then on the driver."""
+def _added(parts: DataFrame, n: int, tasks: int) -> np.ndarray:
+    """The sum of equally long vectors, one a row in column ``v``: a tree of additions, whose last few sums the driver adds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n)
+        total = None
         for batch in batches:
             for v in batch.column("v").to_pylist():
-                total += np.frombuffer(v)
-        yield pa.RecordBatch.from_pydict({"v": [total.tobytes()]})
+                total = np.frombuffer(v) + (0 if total is None else total)
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"v": [total.tobytes()]})
 
-    return sum((np.frombuffer(r["v"]) for r in parts.coalesce(8).mapInArrow(run, "v binary").collect()), np.zeros(n))
+    while tasks > LAST:
+        tasks = max(LAST, -(-tasks // FAN_IN))
+        parts = parts.repartition(tasks).mapInArrow(run, "v binary")
+    return sum((np.frombuffer(r["v"]) for r in parts.collect()), np.zeros(n))
 
 
 def fit(rows: DataFrame) -> QualityModel | None:
@@ -144,7 +150,7 @@ def fit(rows: DataFrame) -> QualityModel | None:
     start = QualityModel(
         centre, np.where(scale > 1e-9, scale, 1.0), random.normal(0, 1 / WIDTH, (k, FEATURES)), random.uniform(0, 2 * np.pi, FEATURES), np.zeros(FEATURES + 1), np.array([0.0]), np.array([0.5])
     )
-    size = FEATURES + 1
+    size, tasks = FEATURES + 1, rows.rdd.getNumPartitions()
 
     def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = np.zeros((size, size)), np.zeros(size)
@@ -154,7 +160,7 @@ def fit(rows: DataFrame) -> QualityModel | None:
             right += z.T @ batch.column("y").to_numpy()
         yield pa.RecordBatch.from_pydict({"v": [np.concatenate([left.ravel(), right]).tobytes()]})
 
-    total = _added(rows.mapInArrow(normal, "v binary"), size * size + size)
+    total = _added(rows.mapInArrow(normal, "v binary"), size * size + size, tasks)
     weights = np.linalg.solve(total[: size * size].reshape(size, size) + RIDGE * n * np.eye(size), total[size * size :])
     model = QualityModel(start.centre, start.scale, start.frequencies, start.phases, weights, start.knots, start.levels)
 
@@ -167,7 +173,7 @@ def fit(rows: DataFrame) -> QualityModel | None:
                 row += np.bincount(at, w, BINS)
         yield pa.RecordBatch.from_pydict({"v": [sums.tobytes()]})
 
-    times, good, raw = _added(rows.mapInArrow(histogram, "v binary"), 3 * BINS).reshape(3, BINS)
+    times, good, raw = _added(rows.mapInArrow(histogram, "v binary"), 3 * BINS, tasks).reshape(3, BINS)
     held = times > 0
     levels = isotonic(good[held] / times[held], times[held])
     # Each pool stands at its mean raw score; between pools the calibration is linear.
