@@ -66,7 +66,7 @@ class Pieces:
         scores = [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         ranked = any(s < -100 for _, s in scores)
         for piece, score in scores:
-            data = piece.encode("utf-8").replace("▁".encode(), MARK)
+            data = piece.encode("utf-8").replace("▁".encode(), MARK).lower()  # A to Z, as the texts
             if 0 < len(data) <= LONGEST and MARK not in data[1:]:
                 weight[data] = weight.get(data, 0.0) + (1 / (10 - score) if ranked else math.exp(score))
         total = sum(weight.values())
