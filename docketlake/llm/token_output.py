@@ -28,13 +28,17 @@ MAGIC = b"DLTOKEN1"
 BLOCK_IDS = 8192
 TAIL = np.dtype([("bits", "<u4"), ("block_ids", "<u4"), ("n_docs", "<u8"), ("n_ids", "<u8"), ("n_blocks", "<u8"), ("index_at", "<u8")])
 END_ID = 2
-#: Words whose ids a worker keeps (at most some 350 MB), in two halves: a full one becomes the old one, whose words come back
-#: when they are met again, and so frequent words stay.
-CACHED_WORDS = 2_000_000
+#: Bytes of words and ids that a worker keeps, with WORD_COST for each word, in two halves: a full one becomes the old
+#: one, whose words come back when they are met again, and so frequent words stay.
+CACHED_BYTES, WORD_COST = 350 << 20, 150
+#: Bytes of text of a shard, and the number of shards beyond which they grow instead.
+SHARD_BYTES, MOST_SHARDS = 4 << 20, 50_000
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
-    """Ids, each in ``bits`` bits, lowest bit first, filled up to a whole byte at the end."""
+    """Ids, each in ``bits`` bits, lowest bit first, filled up to a whole byte at the end. A wider id is an error."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {int(ids.max())} has more than {bits} bits")
     if bits in (8, 16, 32):
         return ids.astype(f"<u{bits // 8}").tobytes()
     digits = (ids.astype(np.uint64)[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
@@ -59,7 +63,7 @@ class ShardWriter:
         self.out = self.files.open_output_stream(self.temporary)
         self.out.write(MAGIC)
         self.at, self.waiting, self.held, self.n_ids = len(MAGIC), [], 0, 0
-        self.blocks, self.doc_ids, self.nulls, self.starts = [self.at], [], [], [0]
+        self.blocks, self.doc_ids, self.nulls, self.starts = array("Q", [self.at]), array("q"), array("B"), array("Q", [0])
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.doc_ids.append(0 if doc_id is None else doc_id)
@@ -143,7 +147,7 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.old = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.known, self.old, self.held = Tokenizer.from_file(path), {}, {}, 0
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
 
     @classmethod
@@ -155,8 +159,8 @@ class WordTokenizer:
     def encode(self, text: bytes) -> np.ndarray:
         words = text.split()  # of bytes: at space and U+0009 to U+000D, as elsewhere here
         if new := [w for w in set(words) if w not in self.known]:
-            if len(self.known) + len(new) > CACHED_WORDS // 2:
-                self.old, self.known, new = self.known, {}, list(set(words))
+            if self.held > CACHED_BYTES // 2:
+                self.old, self.known, self.held, new = self.known, {}, 0, list(set(words))
             unseen = []
             for w in new:
                 if w in self.old:
@@ -165,6 +169,7 @@ class WordTokenizer:
                     unseen.append(w)
             for w, found in zip(unseen, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in unseen], add_special_tokens=False), strict=True):
                 self.known[w] = array("I", found.ids).tobytes()
+            self.held += sum(len(w) + len(self.known[w]) + WORD_COST for w in new)
         return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
 
 
@@ -173,9 +178,12 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 
     Returns the manifest: ``shard`` (ascending with doc_id), ``path``, ``n_docs``, ``n_ids``. A task that runs again
     writes the same file again under its final name, only when complete. Null text is empty and gives the end id alone;
-    repeated rows are written as often as they come; an empty table gives no shard.
+    repeated rows are written as often as they come; an empty table gives no shard; an ``end_id`` that the vocabulary's
+    bits cannot hold is an error.
     """
     small_batches(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, min(MOST_SHARDS, -(-size // SHARD_BYTES)))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, words, writer = TaskContext.get(), WordTokenizer.of(tokenizer), None
@@ -191,7 +199,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             writer.close()
             yield pa.RecordBatch.from_pydict({"shard": [task.partitionId()], "path": [path], "n_docs": [len(writer.doc_ids)], "n_ids": [writer.n_ids]})
 
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     return written(ranged.mapInArrow(write, "shard long, path string, n_docs long, n_ids long"), "token-manifest")
 
 
