@@ -27,8 +27,8 @@ SEED_WORDS = 3
 MATCH, MISMATCH, GAP, THRESHOLD = 2, -1, -1, 0.5
 #: Items handled, and broadcast, at a time; a larger benchmark takes several passes.
 BLOCK_ITEMS = 2000
-#: Places of seeds handled at a time, and windows, to bound memory.
-PLACES, WINDOWS = 1 << 19, 512
+#: Places of seeds handled at a time, and words of windows, to bound memory.
+PLACES, CELLS = 1 << 19, 1 << 16
 
 BREAK = np.ones(256, bool)
 BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -143,8 +143,9 @@ def passages(chunk: textvec.Chunk, items: Items, threshold: float) -> tuple[np.n
         local[:] = len(names)
         local[names] = np.arange(len(names))
         width = len(words) + 3 * (len(words) // 4 + 4)
-        for lo in range(bounds[k], bounds[k + 1], WINDOWS):
-            part = slice(lo, min(lo + WINDOWS, bounds[k + 1]))
+        step = max(1, CELLS // width)
+        for lo in range(bounds[k], bounds[k + 1], step):
+            part = slice(lo, min(lo + step, bounds[k + 1]))
             index = start[part, None] + np.arange(width)
             outside = (index < ends[row[part]][:, None]) | (index >= ends[row[part] + 1][:, None])
             text = np.where(outside, len(names), local[codes[np.clip(index, 0, len(hashes) - 1)]])
