@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,6 +27,9 @@ PARTS = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^?#]*)(?:[?]([^#]*))?"
 #: Rows of a time slice on average, and bounds of their number: one URL's captures are spread over the slices.
 SLICE_ROWS, LEAST_SLICES, MOST_SLICES = 500_000, 64, 1024
 
+#: Records of a WARC file handed on together.
+RECORDS = 1000
+
 CAPTURES = "record_id long, url string, at long, kind string, status int, etag string, last_modified string, headers map<string,string>"
 
 
@@ -50,8 +54,8 @@ def resolve(captures: DataFrame) -> DataFrame:
     ``captures`` has the columns of CAPTURES; a response is full if its status is 200. The latest full response earlier
     in (at, record_id) decides. ``outcome``: *resolved* (the validators agree: etag if the revisit has one, otherwise
     last_modified), *changed* (they do not), *unverified* (the revisit has none), *missing* (no earlier response, or no
-    URL). ``headers`` are the response's with the permitted fields of the revisit, and null unless resolved. Repeated
-    rows give repeated results; null headers count as none; an empty table gives no rows.
+    URL). ``headers`` are the response's with the permitted fields of the revisit, whose names may be in any case, and
+    null unless resolved. Repeated rows give repeated results; null headers count as none; an empty table gives no rows.
     """
     n, edges = captures.agg(F.count("*"), F.percentile_approx("at", [k / LEAST_SLICES for k in range(1, LEAST_SLICES)])).first()
     if n > LEAST_SLICES * SLICE_ROWS:
@@ -84,8 +88,9 @@ def resolve(captures: DataFrame) -> DataFrame:
         .when(same, "resolved")
         .otherwise("changed")
     )
-    fresh = F.map_filter("headers", lambda k, _: k.isin(*PERMITTED))
-    merged = F.map_concat(F.map_filter("_found.headers", lambda k, _: ~F.array_contains(F.map_keys(fresh), k)), fresh)
+    fresh = F.map_filter("headers", lambda k, _: F.lower(k).isin(*PERMITTED))
+    names = F.transform(F.map_keys(fresh), F.lower)
+    merged = F.map_concat(F.map_filter("_found.headers", lambda k, _: ~F.array_contains(names, F.lower(k))), fresh)
     judged = found.withColumn("outcome", outcome)
     return judged.select(
         "record_id",
@@ -103,46 +108,84 @@ def _http(block: bytes) -> tuple[int | None, dict[str, str]]:
     return (int(status) if status.isdigit() else None), {k.strip().lower(): v.strip() for k, sep, v in fields if sep}
 
 
-def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record of a WARC file."""
-    stream = io.BytesIO(data)
-    while line := stream.readline():
-        if not line.startswith(b"WARC/"):
-            continue
-        fields = {}
-        while (line := stream.readline().rstrip(b"\r\n")) != b"":
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            fields[name.strip().lower()] = value.strip()
-        yield fields, stream.read(int(fields.get("content-length") or 0))
-
-
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The response and revisit records of WARC files, plain or gzipped, in the columns of CAPTURES.
-
-    ``at`` is WARC-Date in seconds; ``record_id`` numbers the records of all files by file path and place. Only 304
-    revisits (profile server-not-modified) are kept; other records are passed over.
+def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Header fields, block and problem of each record of a WARC file, which is unpacked as it is read."""
+    raw = io.BytesIO(data)
+    stream = gzip.GzipFile(fileobj=raw) if data[:2] == b"\x1f\x8b" else raw
+    fields: dict[str, str] = {}
+    try:
+        while line := stream.readline():
+            if not line.startswith(b"WARC/"):
+                continue
+            fields = {}
+            while (line := stream.readline()).rstrip(b"\r\n"):
+                name, _, value = line.decode("utf-8", "replace").partition(":")
+                fields[name.strip().lower()] = value.strip()
+            length = fields.get("content-length", "")
+            if not (length.isascii() and length.isdigit()):
+                yield fields, b"", "no content length"  # the next record is looked for from here
+                continue
+            block = stream.read(int(length))
+            yield fields, block, None if len(block) == int(length) else "truncated record"
+            fields = {}
+    except (EOFError, OSError, zlib.error):
+        yield fields, b"", "truncated archive"
+
+
+def _seconds(date: str | None) -> tuple[int | None, str | None]:
+    """WARC-Date, with or without a fraction of a second, in microseconds, or what is wrong with it."""
+    if not date:
+        return None, "no date"
+    try:
+        when = pd.Timestamp(date)
+        return int((when.tz_localize("UTC") if when.tzinfo is None else when).value // 1000), None
+    except (ValueError, OverflowError):
+        return None, "no date"
+
+
+def parsed_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The response and revisit records of WARC files in the columns of CAPTURES, with ``file``, ``place`` and ``problem``.
+
+    ``problem`` is null for a sound record, and otherwise tells why it is none: *no content length*, *truncated record*,
+    *truncated archive* (of which the records before the break are kept), *no date*. Files are read whole, as Spark's
+    binaryFile does (at most 2 GB each, packed), and unpacked record by record.
     """
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
             for name, content in zip(frame["path"], frame["content"], strict=True):
-                data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else bytes(content)
-                for place, (fields, block) in enumerate(_records(data)):
+                rows = []
+                for place, (fields, block, problem) in enumerate(_records(bytes(content))):
                     kind = fields.get("warc-type")
-                    if kind not in ("response", "revisit") or (kind == "revisit" and "not-modified" not in fields.get("warc-profile", "")):
+                    other = kind not in ("response", "revisit") or (kind == "revisit" and "not-modified" not in fields.get("warc-profile", ""))
+                    if other and not problem:
                         continue
                     status, headers = _http(block)
-                    when = pd.Timestamp(fields["warc-date"]).timestamp() if fields.get("warc-date") else None
-                    rows.append((name, place, fields.get("warc-target-uri"), when, kind, status, headers.get("etag"), headers.get("last-modified"), headers))
-            out = pd.DataFrame(rows, columns=["file", "place", "url", "at", "kind", "status", "etag", "last_modified", "headers"])
-            yield out.astype({"at": "Int64", "status": "Int32"})
+                    when, undated = _seconds(fields.get("warc-date"))
+                    rows.append((name, place, fields.get("warc-target-uri"), when, kind, status, headers.get("etag"), headers.get("last-modified"), headers, problem or undated))
+                    if len(rows) == RECORDS:
+                        yield framed(rows)
+                        rows = []
+                yield framed(rows)
+
+    def framed(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["file", "place", "url", "at", "kind", "status", "etag", "last_modified", "headers", "problem"])
+        return out.astype({"at": "Int64", "status": "Int32"})
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    schema = "file string, place long, " + CAPTURES.removeprefix("record_id long, ")
-    rows = files.mapInPandas(parse, schema)
+    rows = files.mapInPandas(parse, "file string, place long, " + CAPTURES.removeprefix("record_id long, ") + ", problem string")
     number = F.xxhash64("file").bitwiseAND(F.lit((1 << 42) - 1)) * (1 << 20) + F.col("place")
-    return rows.select(number.alias("record_id"), "url", "at", "kind", "status", "etag", "last_modified", "headers")
+    return rows.select(number.alias("record_id"), "url", "at", "kind", "status", "etag", "last_modified", "headers", "file", "place", "problem")
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The sound response and revisit records of WARC files, plain or gzipped, in the columns of CAPTURES.
+
+    ``at`` is WARC-Date in microseconds; ``record_id`` numbers the records of all files by file path and place. Only 304
+    revisits (profile server-not-modified) are kept; other records are passed over, and unsound ones are rows of
+    ``parsed_warc`` with a problem.
+    """
+    return parsed_warc(spark, path).where("problem is null").drop("file", "place", "problem")
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
