@@ -248,3 +248,21 @@ def test_read_warc(spark, tmp_path):
     assert [r.kind for r in rows.orderBy("at").collect()] == ["response", "revisit"]
     r = warc_revisits.resolve(rows).first()
     assert r.outcome == "resolved" and r.headers == {"etag": '"a"', "server": "s", "date": "later"}
+
+
+def test_warc_records_that_are_unsound(spark, tmp_path):
+    def record(date="2026-01-01T00:00:00.123456Z", length=None, kind="response", block=b'HTTP/1.1 200 OK\r\nETag: "a"\r\nDate: d\r\n\r\nbody'):
+        return f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Target-URI: http://e.com/\r\nWARC-Date: {date}\r\nContent-Length: {len(block) if length is None else length}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    (tmp_path / "a.warc").write_bytes(record() + record(date="yesterday") + record(length="many") + record(date="2026-01-01T00:00:01Z") + record(length=10**6))
+    whole = gzip.compress(record()) + gzip.compress(record(block=b"HTTP/1.1 200 OK\r\n\r\n" + bytes(range(256)) * 50))
+    (tmp_path / "b.warc.gz").write_bytes(whole[:-30])
+    (tmp_path / "c.warc").write_bytes(b"")
+    found = collections.Counter(r.problem for r in warc_revisits.parsed_warc(spark, f"file://{tmp_path}/*").collect())
+    assert found == {None: 3, "no date": 1, "no content length": 1, "truncated record": 1, "truncated archive": 1}
+    assert sorted(r.at % 10**6 for r in warc_revisits.read_warc(spark, f"file://{tmp_path}/*").collect()) == [0, 123456, 123456]
+
+
+def test_header_names_ignore_case(spark):
+    rows = [(1, "http://e.com/", 1, "response", 200, '"a"', None, {"Date": "old", "ETag": '"a"', "Server": "s"}), (2, "http://e.com/", 2, "revisit", 304, '"a"', None, {"date": "new", "etag": '"a"', "X-Other": "no"})]
+    assert warc_revisits.resolve(captures(spark, rows)).first().headers == {"Server": "s", "date": "new", "etag": '"a"'}

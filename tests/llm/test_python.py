@@ -18,7 +18,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docketlake.llm import decontamination, jaccard_join, lm_scoring, quality_classifier, substring_dedup, textvec, token_output
+from docketlake.llm import blocks, decontamination, jaccard_join, lm_scoring, quality_classifier, substring_dedup, textvec, token_output
 from docketlake.llm.common import read, scratch
 from tests.llm.fixtures import corpus, empty, frame
 
@@ -352,3 +352,160 @@ def test_copies_in_many_documents(spark):
 def test_alignment(item, texts):
     found = decontamination.align(np.array(item, np.uint64), np.array(texts, np.uint64))
     assert found.tolist() == [brute_align(item, t) for t in texts]
+
+
+# --- against brute force, as a whole
+
+
+def brute_statistics(text: str | None) -> list[float]:
+    text = text or ""
+    raw = text.encode()
+    words = [w.encode() for w in WORD.findall(text)]
+    share = lambda part, whole: part / max(whole, 1)
+    mean = share(sum(map(len, words)), len(words))
+    spread = math.sqrt(max(share(sum(len(w) ** 2 for w in words), len(words)) - mean * mean, 0))
+    grams = collections.Counter(zip(words, words[1:], words[2:]))
+    lines = [x for x in raw.split(b"\n") if x]
+    count = lambda chars: sum(b in chars for b in raw)
+    upper, lower = bytes(range(65, 91)), bytes(range(97, 123))
+    return [
+        math.log1p(len(words)), mean, spread, share(count(upper), count(upper + lower)), share(count(b"0123456789"), len(raw)), share(count(b"#*$%&|<>"), len(words)),
+        share(count(b"!"), len(words)), share(count(b"|"), len(words)), share(count(b".,;:?!'\"()-"), len(words)), share(count(b"\n"), len(words)),
+        share(count(bytes(range(192, 256))), len(raw)), share(len(set(words)), len(words)), share(sum(n for n in grams.values() if n > 1), len(words)),
+        share(len(lines) - len(set(lines)), len(lines)), math.log1p(share(len(raw), len(lines))), share(count(b" \t\n\x0b\x0c\r"), len(raw)),
+    ]
+
+
+def test_classifier_against_brute_force(spark):
+    rows = [r for r in corpus() if r[0] is not None and r[0] not in (5, 6)]
+    table = quality_classifier.document_statistics(frame(spark, rows))
+    x = {r.doc_id: r.x for r in table.collect()}
+    assert all(np.allclose(x[d], brute_statistics(t)) for d, t, _ in rows)
+    labelled = table.select("x", (F.col("doc_id") < 400).cast("double").alias("y"))
+    model = quality_classifier.fit(labelled)
+    xs, y = np.array([x[d] for d, _, _ in rows]), np.array([float(d < 400) for d, _, _ in rows])
+    random = np.random.default_rng(quality_classifier.SEED)
+    k, wide = len(quality_classifier.STATISTICS), quality_classifier.FEATURES
+    frequencies, phases = random.normal(0, 1 / quality_classifier.WIDTH, (k, wide)), random.uniform(0, 2 * np.pi, wide)
+    scale = np.where(xs.std(axis=0) > 1e-9, xs.std(axis=0), 1.0)
+    z = np.clip((xs - xs.mean(axis=0)) / scale, -quality_classifier.FARTHEST, quality_classifier.FARTHEST)
+    features = np.array([[*(math.cos(sum(a * b for a, b in zip(row, frequencies[:, j])) + phases[j]) for j in range(wide)), 1.0] for row in z])
+    penalty = math.sqrt(quality_classifier.RIDGE * len(rows))
+    ridge = np.linalg.lstsq(np.vstack([features, penalty * np.eye(wide + 1)]), np.concatenate([y, np.zeros(wide + 1)]), rcond=None)[0]
+    assert np.allclose(model.raw(xs), features @ ridge, atol=1e-6)
+    # each partition adds its part: any number of partitions gives the same model
+    again = quality_classifier.fit(labelled.repartition(40))
+    assert np.allclose(again.raw(xs), model.raw(xs), atol=1e-6)
+
+
+def test_sums_are_added_in_a_tree(spark, monkeypatch):
+    parts = spark.range(0, 200, 1, 100).select(F.expr("encode(cast(id as string), 'utf-8')").alias("v"))
+    made = parts.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"v": [np.array([float(x)]).tobytes() for x in b.column("v").to_pylist()]}) for b in bs), "v binary")
+    assert quality_classifier._added(made, 1, 100).tolist() == [sum(range(200))]
+    assert quality_classifier._added(made.limit(0), 1, 1).tolist() == [0]
+
+
+def test_fitted_scores_against_brute_force(spark):
+    rows = [r for r in corpus() if r[0] is None or r[0] < 12 or 400 <= r[0] < 406 or r[0] == 408]
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = lm_scoring.Pieces.load(path)
+    weight, end = dict(zip(pieces.pieces, pieces.log_weight)), pieces.log_end
+    longest = max(map(len, weight))
+    low = lambda t: [b" " + re.sub(rb"[A-Z]", lambda m: m[0].lower(), w.encode()) for w in WORD.findall(t or "")]
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 10 == 0
+    times = collections.Counter(w for d, t, _ in rows if not held(d) for w in low(t))
+    ends = sum(not held(d) for d, _, _ in rows)
+
+    def chances(w, forward=True):
+        at = [1.0] + [0.0] * len(w)
+        for j in range(1, len(w) + 1):
+            for i in range(max(0, j - longest), j):
+                piece = w[i:j] if forward else w[len(w) - j : len(w) - i]
+                at[j] += at[i] * math.exp(weight[piece]) if piece in weight else 0.0
+        return at
+
+    for _ in range(lm_scoring.ROUNDS):
+        used = collections.Counter()
+        for w, n in times.items():
+            ahead, back = chances(w), chances(w, False)[::-1]
+            for i in range(len(w)):
+                for j in range(i + 1, min(len(w), i + longest) + 1):
+                    if w[i:j] in weight:
+                        used[w[i:j]] += n * ahead[i] * math.exp(weight[w[i:j]]) * back[j] / ahead[-1]
+        total = sum(used.values()) + lm_scoring.SMOOTH * len(weight) + ends + 1
+        weight, end = {p: math.log((used[p] + lm_scoring.SMOOTH) / total) for p in weight}, math.log((ends + 1) / total)
+    expected = sorted((d is not None, d or 0, round((sum(math.log(chances(w)[-1]) for w in low(t)) + end) / math.log(10), 6)) for d, t, _ in rows)
+    found = sorted((r.doc_id is not None, r.doc_id or 0, round(r.score, 6)) for r in lm_scoring.scored(frame(spark, rows), path).collect())
+    assert [x[:2] for x in found] == [x[:2] for x in expected] and np.allclose([x[2] for x in found], [x[2] for x in expected], atol=1e-4)
+
+
+def test_contamination_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    split = lambda t: re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    docs = {r.doc_id: split(r.text) for r in read(spark, sf, "documents").collect()}
+    items = {r.item_id: split(r.text) for r in read(spark, sf, "benchmark").collect()}
+    found = {(r.doc_id, r.item_id): r.score for r in decontamination.op7_decontamination(spark, sf).collect()}
+    brute = {}
+    for d, text in docs.items():
+        held = collections.Counter(text)
+        for i, item in items.items():
+            if len(item) >= 3 and sum((held & collections.Counter(item)).values()) >= 0.5 * len(item):  # no alignment scores more
+                brute[d, i] = brute_align(item, text) / (2 * len(item))
+    assert found == pytest.approx({k: v for k, v in brute.items() if v >= decontamination.THRESHOLD}) and found
+
+
+# --- blocks and sketches
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2000)
+    listed = blocks.block_files(frame(spark).select("doc_id", "text", "source"))
+    rows = listed.collect()
+    assert sum(r.n_rows for r in rows) == len(corpus()) and len({r.block for r in rows}) == len(rows)
+    tables = [blocks.load(r.path) for r in rows]
+    held = collections.Counter((d, t, s) for x in tables for d, t, s in zip(x["doc_id"].to_pylist(), x["text"].to_pylist(), x["source"].to_pylist()))
+    assert held == collections.Counter((d, t or "", s) for d, t, s in corpus()) and len({p for x in tables for p in x["place"].to_pylist()}) == len(corpus())
+
+
+@pytest.mark.parametrize("limit", [500, 5000])
+def test_dedup_and_scores_over_many_blocks(spark, monkeypatch, limit):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    score = lambda: sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm_scoring.scored(frame(spark), path, 1).collect())
+    one = score()
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", limit)
+    monkeypatch.setattr("docketlake.llm.common.small_batches", None)
+    monkeypatch.setattr(blocks, "small_batches", lambda s: s.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5"))
+    assert collections.Counter(tuple(r) for r in substring_dedup.deduplicated(frame(spark)).collect()) == collections.Counter(brute_dedup(corpus()))
+    assert score() == one
+
+
+def test_only_counters_leave_a_block_before_the_filter(spark, monkeypatch):
+    listed = blocks.block_files(frame(spark).select("doc_id", "text"))
+    parts = substring_dedup.sketches(listed, 4, listed.count())
+    assert parts.columns == ["slice", "block", "at", "value"]
+    rows = parts.collect()
+    assert rows and all(0 <= k < substring_dedup.DEPTH * substring_dedup.WIDTH for r in rows for k in r.at)
+    # merged by addition: the sum of the blocks' sketches is the sketch of all
+    least, once = zip(*[(lambda w: (w.minimisers()[0], np.unique(w.minimisers()[1], return_index=True)[1]))(substring_dedup.BlockWords(blocks.load(r.path))) for r in listed.collect()])
+    hashes, counts = np.unique(np.concatenate([a[b] for a, b in zip(least, once)]), return_counts=True)
+    for s in range(4):
+        own = hashes % np.uint64(4) == s
+        whole = substring_dedup.merged([substring_dedup.Sketch.of(hashes[own], counts[own])])
+        assert (whole == substring_dedup.merged(substring_dedup.Sketch(np.array(r.at, np.int64), np.array(r.value)) for r in rows if r.slice == s)).all()
+
+
+def test_wide_ids_are_an_error(spark):
+    with pytest.raises(ValueError, match="more than 4 bits"):
+        token_output.pack(np.array([3, 16]), 4)
+    with pytest.raises(Exception, match="more than 16 bits"):
+        token_output.write_shards(frame(spark), scratch(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"), end_id=1 << 20)
+
+
+def test_cached_words_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_output, "CACHED_BYTES", 4000)
+    words = token_output.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    whole = words.tokenizer
+    for k in range(60):
+        text = " ".join(["often", f"rare{k}", f"x{k}y"])
+        assert words.encode(text.encode()).tolist() == [i for w in text.split() for i in whole.encode(w, add_special_tokens=False).ids]
+        assert len(words.known) < 30 and b"often" in words.known
