@@ -65,11 +65,11 @@ def _distinct(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``(doc_id, a, b, n, tokens, signature)``: the set's 128-bit name, its size, its path tokens and signature."""
+    """``(doc_id, place, a, b, n, tokens, signature)``: the set's 128-bit name, its size, its path tokens and signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, places = batch.column("doc_id"), batch.column("place")
             for chunk in textvec.chunks(batch.column("text")):
                 hashes, rows = _distinct(*shingles(chunk))
                 n = np.bincount(rows, minlength=chunk.rows)
@@ -86,17 +86,19 @@ def signatures(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(chunk.lo, chunk.rows),
+                        places.slice(chunk.lo, chunk.rows),
                         pa.array(name[0].view(np.int64)),
                         pa.array(name[1].view(np.int64)),
                         pa.array(n.astype(np.int32)),
                         pa.ListArray.from_arrays(np.arange(0, tokens.size + 1, TOKENS, dtype=np.int32), pa.array(tokens.ravel())),
                         pa.array([bytes_[k].tobytes() for k in range(chunk.rows)], pa.binary()),
                     ],
-                    ["doc_id", "a", "b", "n", "tokens", "signature"],
+                    ["doc_id", "place", "a", "b", "n", "tokens", "signature"],
                 )
 
-    schema = "doc_id long, a long, b long, n int, tokens array<long>, signature binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, place long, a long, b long, n int, tokens array<long>, signature binary"
+    place = F.col("place") if "place" in docs.columns else F.lit(None).cast("long").alias("place")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), place, "text").mapInArrow(run, schema)
 
 
 def _children(path: Column, sampled: Callable[[int], Column]) -> Column:
@@ -128,6 +130,13 @@ def _kept(rows: DataFrame, dense: DataFrame, inside: bool) -> DataFrame:
     return rows.join(hot, "leaf", "left_semi").unionByName(others.join(rest, "leaf", "left_semi"))
 
 
+def _met(rows: DataFrame, info: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """``rows`` beside their one row of ``info``. The HOT keys of most weight are broadcast, so that none fills a task."""
+    hot = F.broadcast(info.orderBy(F.col(weight).desc(), *on).limit(HOT))
+    others = rows.join(hot.select(*on), on, "left_anti")
+    return rows.join(hot, on).unionByName(others.join(info, on)).drop(weight)
+
+
 def buckets(sets: DataFrame) -> DataFrame:
     """``(leaf, a, b, size)``: the buckets to compare, of two sets or more, with their sizes."""
     roots = sets.select(*NODE, "tokens", F.explode(F.array(*[F.lit(r).cast("long") for r in range(RUNS)])).alias("run"))
@@ -300,26 +309,24 @@ def components(edges: DataFrame) -> DataFrame:
     node, root = F.struct("a", "b"), F.struct(F.col("ra").alias("a"), F.col("rb").alias("b"))
     pairs = edges.select(node.alias("u"), root.alias("v")).where("u != v").distinct()
     both = written(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges")
+    # a node with many neighbours, and a label with many nodes, is met by broadcast
+    degrees = written(both.groupBy("v").agg(F.count("*").alias("_size")), "degrees")
     labels = written(both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("label")), "labels")
     while True:
-        near = both.join(labels.select(F.col("u").alias("v"), F.col("label").alias("_near")), "v").groupBy("u").agg(F.min("_near").alias("_near"))
-        lowered = labels.join(near, "u").select("u", F.col("label").alias("_old"), F.least("label", "_near").alias("label"))
-        lowered = written(lowered, "lowered")
-        jump = lowered.select(F.col("u").alias("label"), F.col("label").alias("_next"))
-        labels = written(lowered.join(jump, "label").select("u", "_old", F.least("label", "_next").alias("label")), "labels")
+        known = labels.select(F.col("u").alias("v"), F.col("label").alias("_near")).join(degrees, "v")
+        near = _met(both, known, ["v"], "_size").groupBy("u").agg(F.min("_near").alias("_near"))
+        lowered = written(labels.join(near, "u").select("u", F.col("label").alias("_old"), F.least("label", "_near").alias("label")), "lowered")
+        sizes = lowered.groupBy("label").agg(F.count("*").alias("_size"))
+        jump = written(lowered.select(F.col("u").alias("label"), F.col("label").alias("_next")).join(sizes, "label"), "jump")
+        labels = written(_met(lowered, jump, ["label"], "_size").select("u", "_old", F.least("label", "_next").alias("label")), "labels")
         if not labels.where("label != _old").head(1):
             return labels.select("u.a", "u.b", F.col("label.a").alias("ca"), F.col("label.b").alias("cb"))
         labels = labels.drop("_old")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, class_id (the least doc_id of its group of near copies), n_links and n_copies.
-
-    ``n_links`` counts the different sets of similarity SIMILARITY or more, ``n_copies`` the other rows with the same
-    set. Texts without words, null ones included, have the same empty set and form one class. Null doc_ids count last:
-    a class has a null class_id only if all its ids are null. Repeated rows are copies of each other; an empty table
-    gives no rows. Only doc_id and text are read.
-    """
+def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Signature rows (doc_id, place, a, b), and each set's class (ca, cb: the least set of its group, itself if alone),
+    class_id, n_links and copies."""
     small_batches(docs.sparkSession)
     table = written(signatures(docs), "signatures")
     sets = written(
@@ -330,24 +337,38 @@ def join(docs: DataFrame) -> DataFrame:
     counts = found.groupBy(*NODE).agg(F.sum("links").alias("n_links"))
     classes = written(sets.select(*NODE, "rep", "copies").join(components(found), [*NODE], "left").join(counts, [*NODE], "left"), "classes")
     least = written(classes.where("ca is not null").groupBy("ca", "cb").agg(F.min("rep").alias("class_id"), F.count("*").alias("size")), "least")
-    # the largest groups of near copies meet their least id by broadcast, so that no group meets in one task
-    hot = F.broadcast(least.orderBy(F.col("size").desc(), "ca", "cb").limit(HOT))
-    rest = least.join(hot.select("ca", "cb"), ["ca", "cb"], "left_anti")
-    grouped = classes.join(hot, ["ca", "cb"]).unionByName(classes.join(hot.select("ca", "cb"), ["ca", "cb"], "left_anti").join(rest, ["ca", "cb"])).drop("size")
-    named = grouped.unionByName(classes.where("ca is null").withColumn("class_id", F.col("rep")))
-    named = named.select(*NODE, "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("copies") - 1).alias("n_copies"))
-    return table.select("doc_id", *NODE).join(named, [*NODE]).select("doc_id", "class_id", F.col("n_links").cast("long").alias("n_links"), "n_copies")
+    grouped = _met(classes.where("ca is not null"), least, ["ca", "cb"], "size")
+    alone = classes.where("ca is null").withColumn("ca", F.col("a")).withColumn("cb", F.col("b")).withColumn("class_id", F.col("rep"))
+    named = grouped.unionByName(alone).select(*NODE, "ca", "cb", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "copies")
+    return table.select("doc_id", "place", *NODE), written(named, "named")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, class_id (the least doc_id of its group of near copies), n_links and n_copies.
+
+    ``n_links`` counts the different sets of similarity SIMILARITY or more, ``n_copies`` the other rows with the same
+    set. Texts without words, null ones included, have the same empty set and form one class. Null doc_ids count last:
+    a class has a null class_id only if all its ids are null. Repeated rows are copies of each other; an empty table
+    gives no rows. Only doc_id and text are read.
+    """
+    rows, sets = _classified(docs)
+    info = sets.select(*NODE, "class_id", "n_links", (F.col("copies") - 1).alias("n_copies"), "copies")
+    return _met(rows, info, [*NODE], "copies").select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each group of near copies: that of the least doc_id.
+    """The rows of ``docs``, all columns, with one row of each group of near copies: that of the least doc_id.
 
-    A doc_id names one document, so rows that share it leave one row; rows without a doc_id all stay.
+    A null doc_id counts last; among rows of the same doc_id the least set and then the first place decide. Rows of the
+    same doc_id whose texts are no near copies of each other are different documents, and all stay.
     """
-    kept = join(docs).where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"))
-    once = whole.join(kept.hint("shuffle_hash"), F.col("_id") == F.col("_kept"), "left_semi").dropDuplicates(["_id"])
-    return once.unionByName(whole.where("_id is null")).select("_row.*")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    placed = written(docs.select(whole, F.col("doc_id"), F.col("text"), F.monotonically_increasing_id().alias("place")), "placed")
+    rows, sets = _classified(placed)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "a", "b", "place")
+    classes = _met(rows, sets.select(*NODE, "ca", "cb", "copies"), [*NODE], "copies").groupBy("ca", "cb").agg(F.min(rank).alias("_first"))
+    kept = classes.select(F.col("_first.place").alias("place"))
+    return placed.select("_row", "place").join(kept.hint("shuffle_hash"), "place", "left_semi").select("_row.*")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

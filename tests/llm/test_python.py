@@ -215,10 +215,36 @@ def test_links_whose_signatures_differ_much(spark):
     assert collections.Counter(tuple(r) for r in jaccard_join.join(frame(spark, rows)).collect()) == brute_join(rows)
 
 
+def brute_kept(rows):
+    """Of each class, by place: the row of the least doc_id (null last). Rows that share an id are told apart by text."""
+    numbered = [(k, t, None) for k, (_, t, _) in enumerate(rows)]
+    best = {}
+    for k, (_, c, _, _) in zip(range(len(rows)), sorted_join(numbered)):
+        rank = (rows[k][0] is None, rows[k][0] or 0)
+        best[c] = min(best.get(c, (rank, k)), (rank, k), key=lambda x: x[0])
+    return collections.Counter((rows[k][0], rows[k][1]) for _, k in best.values())
+
+
+def sorted_join(rows):
+    return sorted((x for x, n in brute_join(rows).items() for _ in range(n)), key=lambda x: x[0])
+
+
 def test_one_of_each(spark):
-    kept = [r.doc_id for r in jaccard_join.one_of_each(frame(spark)).collect()]
-    classes = {c for _, c, _, _ in brute_join(corpus()) if c is not None}
-    assert collections.Counter(d for d in kept if d is not None) == collections.Counter(classes) and kept.count(None) == 2
+    kept = collections.Counter((r.doc_id, r.text) for r in jaccard_join.one_of_each(frame(spark)).collect())
+    assert kept == brute_kept(corpus()) and [d for d, _ in kept].count(6) == 3 and sum(d is None for d, _ in kept) == 2
+
+
+def test_different_texts_of_one_id_all_stay(spark):
+    rows = [(1, "a b c d e f g h", None), (1, "i j k l m n o p", None), (2, "q r s t u v w x", None), (None, "i j k l m n o p", None), (None, "only here and nowhere else", None)]
+    found = collections.Counter((r.doc_id, r.text) for r in jaccard_join.one_of_each(frame(spark, rows)).collect())
+    assert found == collections.Counter([(1, rows[0][1]), (1, rows[1][1]), (2, rows[2][1]), (None, rows[4][1])])
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_hot_sets_and_labels_are_met_by_broadcast(spark, monkeypatch, hot):
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    found = collections.Counter(tuple(r) for r in jaccard_join.join(frame(spark)).collect())
+    assert found == brute_join(corpus())
 
 
 # --- substring dedup
