@@ -91,7 +91,7 @@ class Trackers:
         """The codes in use with their meaning."""
         known = self.spark.createDataFrame(list(CODES.items()), "code string, description string")
         used = rows.select("code").where("code is not null").distinct()
-        return used.join(F.broadcast(known), "code", "left").withColumn("description", F.coalesce("description", F.lit("unknown code")))
+        return used.join(F.broadcast(known), "code", "left").withColumn("description", F.coalesce("description", F.lit("See SEC form instructions")))
 
     def insider_summary(self, ticker, today, window_days=WINDOW_DAYS):
         since = F.date_sub(F.lit(checked_date(today)).cast("date"), window_days)
@@ -176,7 +176,8 @@ class Trackers:
     def campaign_finance(self, candidate_id=None, q=None, cycle=None, office=None, state=None, limit=None):
         parts = [P.equals("candidate_id", candidate_id, "upper"), P.contains("name", q), P.equals("cycle", cycle), P.equals("office", office, "upper"), P.equals("state", state, "upper")]
         found = self._listing("fec-candidates", parts, limit)
-        return {"candidates": found, "contributions": joins.candidate_contributions(found, self.fec_contributions(cycle=cycle, limit=P.MAX_LIMIT))}
+        own = joins.candidate_contributions(found, P.where(self.table("fec-contributions"), P.equals("cycle", cycle)))
+        return {"candidates": found, "contributions": with_citation(P.listing(own, [], DATASETS["fec-contributions"].order, limit))}
 
     def fec_contributions(self, candidate_id=None, committee_id=None, committee=None, cycle=None, since=None, limit=None):
         parts = [P.equals("candidate_id", candidate_id, "upper"), P.equals("committee_id", committee_id, "upper"), P.contains("committee_name", committee), P.equals("cycle", cycle)]

@@ -15,7 +15,8 @@ GENERATIONS = ("JR", "SR", "II", "III", "IV")
 BILL_FORMS = (("HConRes", "H.Con.Res."), ("SConRes", "S.Con.Res."), ("HJRes", "H.J.Res."), ("SJRes", "S.J.Res."), ("HRes", "H.Res."), ("SRes", "S.Res."), ("HR", "H.R."), ("S", "S."))
 # Asset codes of House reports.
 ASSET_CODES = {
-    "stock": ("ST", "PS"), "option": ("OP",), "other": ("OT",), "bond": ("GS", "CS", "AB"), "crypto": ("CT",), "fund": ("MF", "EF", "MO", "HE", "PE", "RE"),
+    "ST": "stock", "PS": "stock", "OP": "option", "OT": "other", "GS": "bond", "CS": "bond", "AB": "bond", "CT": "crypto",
+    "MF": "fund", "EF": "fund", "MO": "fund", "HE": "fund", "PE": "fund", "RE": "fund",
 }
 # Words that tell the kind of asset where no code does, in order of precedence.
 ASSET_WORDS = (
@@ -24,6 +25,14 @@ ASSET_WORDS = (
     ("crypto", r"(?i)\b(bitcoin|ethereum|crypto\w*|token|coin)\b"),
     ("fund", r"(?i)\b(fund|etf|trust|index)\b"),
 )
+# Words of Senate reports for kinds of assets and owners, in order of precedence, and beginnings of sides.
+SENATE_ASSETS = (("option", "option"), ("crypto", "crypto"), ("bond", "corporate bond|municipal|treasury|note|bond"), ("fund", "mutual fund|etf|exchange traded"), ("stock", "stock"))
+SENATE_OWNERS = (("spouse", "spouse"), ("joint", "joint"), ("dependent", "child|dependent"), ("self", "self"))
+SENATE_SIDES = ("purchase", "sale", "exchange")
+# Sides of House reports.
+HOUSE_SIDES = {"P": "buy", "S": "sell", "E": "exchange"}
+# What may stand after a company's name: the state of a registrant, a share class.
+STATE_TAIL, CLASS_TAIL = r"\s*/[A-Z]{2}/?\s*$", r"[\s-]*\bCL(?:ASS)?\s+[A-Z]$"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -118,12 +127,12 @@ def amount_range(c: Column) -> Column:
 def entity_name(c: Column) -> Column:
     """A company name for comparison (F9): upper case, no state tag, share class, punctuation or legal suffix.
 
-    The last remaining word stays even if it is a suffix.
+    Of the words that are left, those up to the last that is no legal suffix; the first stays in any case.
     """
-    name = F.regexp_replace(F.upper(c), r"\s*/[A-Z]{2}/?\s*$", "")
-    name = F.regexp_replace(F.replace(name, F.lit("&"), F.lit(" AND ")), r"[\s-]*\bCL(?:ASS)?\s+[A-Z]$", "")
-    name = F.trim(F.regexp_replace(F.regexp_replace(name, r"[.,'()]", " "), r"\s+", " "))
-    return F.regexp_replace(name, rf"^(.+?)(?: (?:{'|'.join(LEGAL_SUFFIXES)}))+$", "$1")
+    bare = F.replace(F.regexp_replace(F.upper(c), STATE_TAIL, ""), F.lit("&"), F.lit(" AND "))
+    words = F.filter(F.split(F.regexp_replace(bare, CLASS_TAIL, ""), r"[\s.,'()]+"), lambda w: w != "")
+    last = F.array_max(F.transform(words, lambda w, i: F.when(w.isin(*LEGAL_SUFFIXES), 1).otherwise(i + 1)))
+    return F.array_join(F.slice(words, 1, F.coalesce(last, F.lit(0))), " ")
 
 
 def name_tokens(c: Column) -> Column:
@@ -162,27 +171,22 @@ def asset_ticker(c: Column) -> Column:
 def house_asset_type(c: Column, ticker: Column) -> Column:
     """Kind of asset: the last two-letter code in brackets, else words, else a stock if there is a ticker."""
     code = last_match(c, r"\[([A-Z]{2})\]")
-    found = F.coalesce(*[F.when(code.isin(*codes), F.lit(kind)) for kind, codes in ASSET_CODES.items()])
-    words = F.coalesce(*[F.when(c.rlike(pattern), F.lit(kind)) for kind, pattern in ASSET_WORDS])
-    return F.coalesce(found, words, F.when(ticker.isNotNull(), F.lit("stock")), F.lit("other"))
+    found = F.try_element_at(F.create_map(*[F.lit(x) for pair in ASSET_CODES.items() for x in pair]), code)
+    return F.coalesce(found, _named(c, ASSET_WORDS), F.when(ticker.isNotNull(), F.lit("stock")), F.lit("other"))
 
 
-def _first_holding(c: Column, cases: tuple[tuple[str, tuple[str, ...]], ...]) -> Column:
-    text = F.lower(c)
-    return F.coalesce(*[F.when(F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(text, w)), F.lit(kind)) for kind, words in cases])
+def _named(c: Column, patterns: tuple[tuple[str, str], ...]) -> Column:
+    """The first name whose pattern the text holds."""
+    return F.get(F.array_compact(F.array(*[F.when(c.rlike(pattern), F.lit(name)) for name, pattern in patterns])), F.lit(0))
 
 
 def senate_asset_type(c: Column) -> Column:
-    """Kind of asset from its words, first hit wins."""
-    cases = (
-        ("option", ("option",)), ("crypto", ("crypto",)), ("bond", ("corporate bond", "municipal", "treasury", "note", "bond")),
-        ("fund", ("mutual fund", "etf", "exchange traded")), ("stock", ("stock",)),
-    )
-    return F.coalesce(_first_holding(c, cases), F.lit("other"))
+    """Kind of asset from its words."""
+    return F.coalesce(_named(F.lower(c), SENATE_ASSETS), F.lit("other"))
 
 
 def senate_owner(c: Column) -> Column:
-    return _first_holding(c, (("spouse", ("spouse",)), ("joint", ("joint",)), ("dependent", ("child", "dependent")), ("self", ("self",))))
+    return _named(F.lower(c), SENATE_OWNERS)
 
 
 def senate_side(c: Column) -> Column:
@@ -192,8 +196,8 @@ def senate_side(c: Column) -> Column:
 
 def house_side(c: Column) -> Column:
     """P, S or E, with "(partial)" or without (F16)."""
-    code = F.upper(F.trim(F.regexp_replace(c, r"(?i)\(\s*partial\s*\)", "")))
-    return F.when(code == "P", "buy").when(code == "S", "sell").when(code == "E", "exchange")
+    letter = F.regexp_extract(F.upper(c), r"^\s*(?:\(\s*PARTIAL\s*\)\s*)?([A-Z])\s*(?:\(\s*PARTIAL\s*\)\s*)?$", 1)
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in HOUSE_SIDES.items() for x in pair]), letter)
 
 
 def year_quarter(c: Column) -> Column:

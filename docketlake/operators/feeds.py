@@ -41,8 +41,8 @@ def safe_entities(df: DataFrame, tickers: Column, at: str, now: str, days: int =
 
 def latest_name(df: DataFrame, key: str, name: str, at: str, order: str) -> DataFrame:
     """The spelling of a name at its latest time; of equal times the first by ``order``."""
-    best = F.max_by(F.col(name), F.struct(F.col(at), F.negative(F.col(order))))
-    return df.groupBy(key).agg(best.alias(name))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.col(at).desc_nulls_last(), F.col(order)))
+    return df.withColumn("_place", place).where("_place = 1").select(key, name)  # Spark keeps one row a key before the shuffle
 
 
 def titled(*parts: Column | str) -> Column:

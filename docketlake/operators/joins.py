@@ -14,12 +14,15 @@ from docketlake.operators.filters import clamp, contains, order, top_groups, whe
 def period_change(df: DataFrame, keys: Sequence[str], names: Sequence[str], period: str, shares: str, value: str, at=None) -> DataFrame:
     """Positions of a period beside the shares of the period before it.
 
-    The period is ``at`` or the latest; the prior one is the latest before it. Keys compare with null equal to null.
-    One pass sums both periods by key, and the sides meet by a null-safe equi-join.
+    The period is ``at`` or the latest; the prior one is the latest before it. A period ``at`` without rows has no
+    positions. Keys compare with null equal to null. One pass sums both periods by key, and the sides meet by a
+    null-safe equi-join.
     """
     dated = df.where(F.col(period).isNotNull())
     until = dated if at is None else dated.where(F.col(period) <= F.lit(at).cast("date"))
     two = [r[0] for r in until.select(period).distinct().orderBy(F.col(period).desc()).limit(2).collect()]  # two dates
+    if at is not None and two and str(two[0])[:10] != str(at)[:10]:
+        two = []
     exact = lambda c: F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
     now = dated.where(F.col(period) == (F.lit(two[0]) if two else F.lit(None)))
     current = now.groupBy(*keys, *names, period).agg(exact(shares).alias("shares"), exact(value).alias("value_usd"))
@@ -115,12 +118,12 @@ def bill_lobbying(bills: DataFrame, filings: DataFrame, limit: int = 20) -> Data
     token = F.concat(F.lower("bill_type"), F.col("bill_number").cast("string"))
     cited = filings.withColumn("_token", F.explode("bill_references"))
     found = bills.select(token.alias("_token"), F.col("id").alias("bill_id")).join(cited, "_token").drop("_token")
-    ranked = row_index(found, ["bill_id"], ["-filing_year", "id"], "_at")
-    return ranked.where(F.col("_at") < limit).drop("_at")
+    place = F.row_number().over(Window.partitionBy("bill_id").orderBy(*order("-filing_year", "id")))
+    return found.withColumn("_at", place).where(F.col("_at") <= limit).drop("_at")  # the bound holds before the shuffle, too
 
 
 def candidate_contributions(candidates: DataFrame, contributions: DataFrame) -> DataFrame:
-    """Contributions of the one candidate among the matches; none if there are several."""
+    """All contributions of the one candidate among the matches; none if there are several (J14). Limits come after."""
     only = candidates.agg(F.count_distinct("candidate_id").alias("_n"), F.min("candidate_id").alias("candidate_id")).where("_n = 1").select("candidate_id")
     return contributions.join(F.broadcast(only), "candidate_id", "left_semi")  # at most one row
 

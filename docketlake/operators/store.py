@@ -1,8 +1,8 @@
 """The store: keyed upserts, scans by ingestion day, shards, snapshots and manifests (S1-S14, SC1-SC11, J8-J10).
 
-A stored table is a folder of versions, each written whole, and a pointer file that names the current one. A writer
-writes the next version and then moves the pointer, so a reader never sees half a table and no path is overwritten
-while it is read.
+A stored table is a folder of numbered versions, each written whole; the highest that is complete is the current one.
+There is no pointer that could be lost: a reader never sees half a table, no path is overwritten while it is read, and a
+crash at any moment leaves the version before. A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from docketlake.operators.filters import order
 
 SNAPSHOT_ROWS = 200_000
+#: Complete versions of a table that are kept, so that a reader may end what it began.
+VERSIONS = 3
 
 
 # --- relational parts
@@ -119,29 +121,43 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     stream = files.create(beside)
     stream.write(bytearray(text.encode("utf-8")))
     stream.close()
-    files.delete(at, False)
-    files.rename(beside, at)
+    renaming = jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(renaming, 1)
+    over[0] = renaming.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), files.getConf())
+    context.rename(files.makeQualified(beside), files.makeQualified(at), over)
 
 
 class VersionedTable:
-    """A table kept as versions with a pointer to the current one."""
+    """A table kept as numbered versions, of which the highest complete one is current."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    @property
-    def _pointer(self) -> str:
-        return f"{self.path}/CURRENT"
+    def versions(self) -> list[tuple[int, str, bool]]:
+        """(number, folder name, whether complete) of each version, ascending."""
+        files, jvm = _files(self.spark, self.path)
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        names = [x.getPath().getName() for x in files.listStatus(root)] if files.exists(root) else []
+        numbered = [(int(n.split("-")[1]), n) for n in names if n.startswith("v-")]
+        return sorted((k, n, files.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))) for k, n in numbered)
 
     def read(self) -> DataFrame | None:
-        version = read_text(self.spark, self._pointer)
-        return None if version is None else self.spark.read.parquet(f"{self.path}/{version.strip()}")
+        """The current version; None if no version was ever completed."""
+        complete = [n for _, n, whole in self.versions() if whole]
+        return self.spark.read.parquet(f"{self.path}/{complete[-1]}") if complete else None
 
     def replace(self, df: DataFrame) -> None:
-        """The whole table anew."""
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{version}")
-        write_text(self.spark, self._pointer, version)
+        """The whole table anew (S2); versions older than the last few go."""
+        before = self.versions()
+        number = before[-1][0] + 1 if before else 1
+        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{self.path}/v-{number:08d}-{uuid.uuid4().hex}")
+        complete = [k for k, _, whole in self.versions() if whole]
+        oldest = complete[-VERSIONS] if len(complete) >= VERSIONS else 0
+        files, jvm = _files(self.spark, self.path)
+        for k, name, _ in before:
+            if k < oldest:
+                files.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}"), True)
 
     def upsert(self, new: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> None:
         """Merge rows by key; applying the same rows twice leaves the table as after once (I4)."""

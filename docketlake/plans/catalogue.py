@@ -595,7 +595,7 @@ def q_run_rollup(spark, d):
     return aggregates.run_rollup(table(spark, d, "events").select(F.col("event_type").alias("source"), F.col("user_id").alias("rows"), (F.col("value") > 0.01).alias("ok")), ["source"])
 
 
-@registered("""SELECT DISTINCT l_returnflag AS code, CASE l_returnflag WHEN 'A' THEN 'Grant, award, or other acquisition' ELSE 'unknown code' END AS description FROM lineitem WHERE l_returnflag IS NOT NULL""")
+@registered("""SELECT DISTINCT l_returnflag AS code, CASE l_returnflag WHEN 'A' THEN 'Grant, award, or other acquisition' ELSE 'See SEC form instructions' END AS description FROM lineitem WHERE l_returnflag IS NOT NULL""")
 def q_code_legend(spark, d):
     return Trackers(spark, {}).legend(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("code")))
 

@@ -78,7 +78,8 @@ def tsv(spark: SparkSession, path: str, quoted: bool) -> DataFrame:
 
 
 def insider_quarter(spark: SparkSession, folder: str, retrieved_at: str) -> tuple[DataFrame, DataFrame]:
-    """Insider transactions of a quarterly set of six tables."""
+    """Insider transactions of a quarterly set of six tables (R5, J6). The first owner is the first in the file: by the
+    start of its split, then by its row there."""
     raw = {n: tsv(spark, f"{folder}/{n.upper()}.tsv", False) for n in ("submission", "reportingowner", "nonderiv_trans", "nonderiv_holding", "deriv_trans", "deriv_holding")}
     sub = raw["submission"]
     submissions = sub.select(
@@ -87,7 +88,7 @@ def insider_quarter(spark: SparkSession, folder: str, retrieved_at: str) -> tupl
     )
     relation = lambda word: F.coalesce(F.contains(F.lower("rptowner_relationship"), F.lit(word)), F.lit(False))
     owners = raw["reportingowner"].select(
-        F.col("accession_number").alias("accession"), F.monotonically_increasing_id().alias("owner_seq"), F.col("rptownername").alias("name"), S.pad_cik(F.col("rptownercik")).alias("cik"),
+        F.col("accession_number").alias("accession"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("owner_seq"), F.col("rptownername").alias("name"), S.pad_cik(F.col("rptownercik")).alias("cik"),
         S.blank_to_null(F.col("rptowner_title")).alias("title"), relation("director").alias("director"), relation("officer").alias("officer"), relation("tenpercent").alias("ten_pct"),
     )
 

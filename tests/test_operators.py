@@ -157,3 +157,59 @@ def test_status_and_rollups(spark, rows):
     assert aggregates.success_rate(checks, F.col("ok"), 0.5).first().passed
     runs = spark.createDataFrame([("s", 3, True), ("s", 4, False)], "source string, rows int, ok boolean")
     assert rows(aggregates.run_rollup(runs, ["source"])) == [("s", 7, False, True)]
+
+
+def test_a_table_survives_a_crash_at_any_moment(spark, tmp_path):
+    table = store.VersionedTable(spark, f"file://{tmp_path}/t")
+    assert table.read() is None
+    for k in range(5):
+        table.upsert(spark.range(k, k + 2).select(F.col("id").cast("string"), F.lit(k).alias("at")), ["id"], ["at"])
+    assert table.read().count() == 6 and len(table.versions()) <= store.VERSIONS + 1
+    spark.range(1).write.parquet(f"file://{tmp_path}/t/v-00000099-broken")  # a version that was never completed
+    (tmp_path / "t" / "v-00000099-broken" / "_SUCCESS").unlink()
+    assert table.read().count() == 6
+    table.upsert(spark.range(7, 8).select(F.col("id").cast("string"), F.lit(9).alias("at")), ["id"], ["at"])
+    assert table.read().count() == 7
+
+
+def test_small_files_are_replaced_in_one_step(spark, tmp_path):
+    for text in ("one", "two"):
+        store.write_text(spark, f"file://{tmp_path}/feed.xml", text)
+        assert store.read_text(spark, f"file://{tmp_path}/feed.xml") == text
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["feed.xml"]
+
+
+def test_a_period_without_rows_has_no_positions(spark):
+    rows = [("m", "n", None, "2025-06-30", 5.0, 6.0), ("m", "n", None, "2025-12-31", 7.0, 8.0)]
+    df = spark.createDataFrame(rows, "manager string, name string, put_call string, period string, shares double, value double").withColumn("period", F.col("period").cast("date"))
+    at = lambda day: [(str(r.period_end), r.shares, r.shares_prior) for r in joins.period_change(df, ["manager", "put_call"], ["name"], "period", "shares", "value", day).collect()]
+    assert at("2025-09-30") == [] and at("2025-12-31") == [("2025-12-31", 7.0, 5.0)] and at("2025-06-30") == [("2025-06-30", 5.0, None)] and at(None) == at("2025-12-31")
+
+
+def test_latest_name_takes_ids_that_are_text(spark):
+    df = spark.createDataFrame([("k", "late b", 2, "house:b"), ("k", "late a", 2, "house:a"), ("k", "old", 1, "house:0"), ("l", None, 5, "x")], "k string, name string, at int, id string")
+    assert {r.k: r.name for r in feeds.latest_name(df, "k", "name", "at", "id").collect()} == {"k": "late a", "l": None}
+
+
+def test_contributions_are_limited_after_the_candidate_is_chosen(spark):
+    from docketlake import schema
+    from docketlake.api import Trackers
+
+    proof = schema.provenance("fec", F.lit("u"), F.lit("2026-01-01"), "p").alias("provenance")
+    many = spark.range(700).select(F.col("id").cast("string"), F.lit("C").alias("committee_id"), F.when(F.col("id") == 0, "H1").otherwise("H2").alias("candidate_id"), F.expr("date_add(date'2024-01-01', cast(id as int))").alias("date"), F.lit("24K").alias("transaction_type"), F.lit(2024).alias("cycle"), proof)
+    people = spark.createDataFrame([("H1:2024", "H1", "Ann"), ("H2:2024", "H2", "Bob")], "id string, candidate_id string, name string").select("*", F.lit(2024).alias("cycle"), proof)
+    tools = Trackers(spark, {"fec-candidates": schema.conformed(people, "fec-candidates"), "fec-contributions": schema.conformed(many, "fec-contributions")})
+    assert [r.id for r in tools.campaign_finance(q="ann", cycle=2024)["contributions"].collect()] == ["0"]
+    assert tools.campaign_finance(q="bob")["contributions"].count() == 50 and tools.campaign_finance()["contributions"].count() == 0
+
+
+def test_entity_names_and_sides(spark):
+    names = {"Alphabet Inc. CL A": "ALPHABET", "Alphabet Inc-Class C": "ALPHABET", "ACME CORP /DE/": "ACME", "Co": "CO", "INC CO": "INC", "AT&T, Inc.": "AT AND T", "Co Acme Co": "CO ACME", "O'Neil (Holdings) Co., Ltd.": "O NEIL HOLDINGS", "": "", None: None}
+    df = spark.createDataFrame([(k,) for k in names], "n string")
+    assert {r.n: r.x for r in df.select("n", S.entity_name(F.col("n")).alias("x")).collect()} == names
+    sides = {"P": "buy", "s (partial)": "sell", " E ": "exchange", "S(Partial)": "sell", "X": None, "PS": None, None: None}
+    df = spark.createDataFrame([(k,) for k in sides], "n string")
+    assert {r.n: r.x for r in df.select("n", S.house_side(F.col("n")).alias("x")).collect()} == sides
+    kinds = {"Corporate Bond": "bond", "Stock Option": "option", "Cryptocurrency": "crypto", "Mutual Fund": "fund", "Common Stock": "stock", "Farm": "other", None: "other"}
+    df = spark.createDataFrame([(k,) for k in kinds], "n string")
+    assert {r.n: r.x for r in df.select("n", S.senate_asset_type(F.col("n")).alias("x")).collect()} == kinds

@@ -287,3 +287,14 @@ def test_stream_upsert_and_drift(spark, rows, tmp_path):
     assert incremental.check_drift(df, F.col("v") == "a", lambda d: d.collect())["succeeded"] == 1
     with pytest.raises(ValueError, match="none of 3"):
         incremental.check_drift(df, F.lit(False), lambda d: d.collect(), at_least=3)
+
+
+def test_senate_reports_with_an_unknown_side_are_unreadable(spark, tmp_path):
+    head = "".join(f"<th>{h}</th>" for h in ("#", "Transaction Date", "Owner", "Ticker", "Asset Name", "Asset Type", "Type", "Amount"))
+    row = lambda side: f"<tr><td>1</td><td>01/05/2026</td><td>Self</td><td>ACM</td><td>Acme</td><td>Stock</td><td>{side}</td><td>$1,001 - $15,000</td></tr>"
+    for name, side in (("D1", "Purchase"), ("D2", "Received")):
+        put(tmp_path, f"{name}.html", f"<table><tr>{head}</tr>{row('Sale (Full)')}{row(side)}</table>")
+    filings = spark.createDataFrame([(d, "Doe", "B1", "X", "NY", dt.date(2026, 1, 9)) for d in ("D1", "D2")], "doc_id string, member_name string, bioguide_id string, party string, state string, filed_at date")
+    good, bad, errors = documents.senate_reports(spark, f"file://{tmp_path}/*", filings, AT)
+    assert {(r.id, r.side, r.provenance.confidence) for r in good.collect()} == {("senate:D1:0", "sell", 0.9), ("senate:D1:1", "buy", 0.9)}
+    assert bad.count() == 0 and "is no side" in errors.first().error
