@@ -62,7 +62,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "2m") -> None:
     """Bound Arrow batches by rows and bytes, so that batches of long documents fit a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

@@ -27,7 +27,7 @@ from docketlake.llm.common import WORD, read
 #: Words of a window, and of the runs whose least hash stands for it.
 WINDOW, SHORT = 20, 10
 #: Minimisers that a slice of the hash space gets on average, and the least number of slices.
-SLICE_ITEMS, LEAST_SLICES = 1 << 20, 64
+SLICE_ITEMS, LEAST_SLICES = 1 << 18, 64
 #: A slice's count-min sketch has DEPTH rows of WIDTH counters (a power of two), four for each item on average.
 DEPTH, WIDTH = 2, 4 * SLICE_ITEMS
 
