@@ -21,13 +21,16 @@ OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a new one that this application keeps.
+    """The folder of spark.checkpoint.dir; where it is unset, a local session (tests) gets a new one that it keeps.
 
+    On a cluster an unset folder is an error: executors would write to disks of their own.
     A path without a scheme is one of the default file system, for Python readers as for Spark.
     """
     context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or OWN.get(context.applicationId)
     if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = OWN[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='docketlake-')}"
         context.setCheckpointDir(found)
     if "://" not in found:

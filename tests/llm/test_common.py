@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
+
 from docketlake.llm import common
 
 
@@ -35,3 +37,12 @@ def test_a_path_without_scheme_is_qualified(spark):
     named = Unset(spark)
     named.get = lambda *_: "/tmp/some/folder/"
     assert common.shared_dir(named) == "file:///tmp/some/folder"
+
+
+def test_an_unset_folder_is_an_error_on_a_cluster():
+    class Cluster(Unset):
+        def __init__(self):
+            self.sparkContext, self.conf, self.master, self.applicationId = self, self, "spark://host:7077", "app"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Cluster())
