@@ -12,7 +12,7 @@ from docketlake import schema
 from docketlake.api import TOOLS, Trackers
 from docketlake.operators import feeds, store
 from docketlake.session import build_session
-from docketlake.sources import delimited
+from docketlake.sources import delimited, registry
 
 
 def _now() -> str:
@@ -40,6 +40,22 @@ def main(argv: list[str] | None = None) -> int:
         study.add_argument("--search-days", type=int, default=7)
         study.add_argument("--events", choices=("trades", "insiders"), default="trades")
         study.add_argument("--ticker")
+    walk = commands.add_parser("sync", help="read landed files from each source's cursor on")
+    walk.add_argument("landing")
+    walk.add_argument("sources", nargs="*", help="all, unless named")
+    past = commands.add_parser("backfill", help="read landed files of a range of days, in chunks")
+    past.add_argument("landing")
+    past.add_argument("source", choices=sorted(registry.SOURCES))
+    past.add_argument("since")
+    past.add_argument("until")
+    past.add_argument("--chunk-days", type=int, default=30)
+    past.add_argument("--budget", type=int)
+    commands.add_parser("canary", help="the latest run of each source")
+    fill = commands.add_parser("resolve", help="fill a missing value from a JSON file of (key, value) rows")
+    fill.add_argument("dataset", choices=sorted(schema.DATASETS))
+    fill.add_argument("key")
+    fill.add_argument("value")
+    fill.add_argument("known")
     args = parser.parse_args(argv)
     spark = build_session(master=args.master)
     trackers = Trackers.at(spark, args.store)
@@ -54,6 +70,22 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         ranked = good.withColumn("_at", F.col("provenance.retrieved_at"))
         store.VersionedTable(spark, f"{args.store}/{args.dataset}").upsert(ranked, ["id"], ["_at"])
+    elif args.command == "sync":
+        failed = {k: v for k, v in registry.Lake(spark, args.store, args.landing).sync(registry.checked(args.sources) or None).items() if v}
+        for name, error in failed.items():
+            print(f"{name}: {error}", file=sys.stderr)
+        return 1 if failed else 0
+    elif args.command == "backfill":
+        walked = registry.Lake(spark, args.store, args.landing).backfill(args.source, args.since, args.until, args.chunk_days, args.budget)
+        print(f"done until {walked.done_until}" + (f", stopped: {walked.stopped}" if walked.stopped else ""))
+        return 0 if walked.stopped in (None, "limit", "deadline") else 1
+    elif args.command == "canary":
+        found = registry.Lake(spark, args.store, "").canary()
+        found.show(len(registry.SOURCES), truncate=False)
+        return 0 if found.where(~F.col("ok")).isEmpty() else 1
+    elif args.command == "resolve":
+        known = spark.read.schema(f"{args.key} string, {args.value} string").json(args.known)
+        print(registry.Lake(spark, args.store, "").resolve(args.dataset, args.key, args.value, known))
     elif args.command == "export":
         for name, df in trackers.tables.items():
             event = schema.DATASETS[name].event_date()

@@ -128,6 +128,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(files.makeQualified(beside), files.makeQualified(at), over)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    files, jvm = _files(spark, path)
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    return sorted(x.getPath().getName() for x in files.listStatus(root)) if files.exists(root) else []
+
+
 class VersionedTable:
     """A table kept as numbered versions, of which the highest complete one is current."""
 
@@ -137,9 +144,7 @@ class VersionedTable:
     def versions(self) -> list[tuple[int, str, bool]]:
         """(number, folder name, whether complete) of each version, ascending."""
         files, jvm = _files(self.spark, self.path)
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        names = [x.getPath().getName() for x in files.listStatus(root)] if files.exists(root) else []
-        numbered = [(int(n.split("-")[1]), n) for n in names if n.startswith("v-")]
+        numbered = [(int(n.split("-")[1]), n) for n in children(self.spark, self.path) if n.startswith("v-")]
         return sorted((k, n, files.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))) for k, n in numbered)
 
     def read(self) -> DataFrame | None:

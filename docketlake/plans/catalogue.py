@@ -381,14 +381,6 @@ def q_short_ratio(spark, d):
     return days.withColumn("ratio", S.short_ratio(F.col("clicks"), F.col("total")))
 
 
-@registered("""WITH days AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-14', INTERVAL 1 DAY))::DATE AS d), u AS (SELECT DISTINCT user_id FROM events WHERE user_id < 40),
-    e AS (SELECT CAST(ts AS DATE) AS d, user_id, count(*) AS n FROM events GROUP BY 1, 2)
-    SELECT CAST(days.d AS VARCHAR) AS day, u.user_id, coalesce(e.n, 0) AS n FROM days, u LEFT JOIN e ON e.d = days.d AND e.user_id = u.user_id WHERE isodow(days.d) < 6""")
-def q_series_gap_fill(spark, d):
-    events = table(spark, d, "events").where("user_id < 40").select("user_id", F.col("ts").cast("date").alias("day"))
-    return joins.gap_filled(events, ["user_id"], "day", "2024-01-01", "2024-01-14", weekdays_only=True).select(day("day").alias("day"), "user_id", "n")
-
-
 @registered("""WITH days AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-14', INTERVAL 1 DAY))::DATE AS d), u AS (SELECT DISTINCT user_id FROM events),
     e AS (SELECT CAST(ts AS DATE) AS d, user_id, count(*) AS n FROM events GROUP BY 1, 2)
     SELECT CAST(days.d AS VARCHAR) AS day, u.user_id, coalesce(e.n, 0) AS n FROM days, u LEFT JOIN e ON e.d = days.d AND e.user_id = u.user_id WHERE isodow(days.d) < 6""")
@@ -464,7 +456,7 @@ def q_page_ids(spark, d):
     return table(spark, d, "pages").select("page_id", S.link_id(F.col("url")).alias("id"))
 
 
-@registered()
+@registered("SELECT event_id, user_id, event_type, ts, value FROM events WHERE ts >= (SELECT min(ts) + INTERVAL 10 DAY FROM events)")
 def stream_late_dedupe(spark, d):
     return incremental.replayed(spark, f"{d}/events.parquet")
 
@@ -522,12 +514,12 @@ def q_table_counts(spark, d):
 
 
 @registered("""WITH c AS (SELECT DISTINCT l_partkey, o_orderkey, year(o_orderdate) AS y FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-    SELECT l_partkey AS bill_id, o_orderkey AS id FROM c QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY y DESC, o_orderkey) <= 3""")
+    SELECT l_partkey AS bill_id, o_orderkey AS id FROM c QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY y DESC, o_orderkey) <= 20""")
 def q_bill_lobbying(spark, d):
     bills = table(spark, d, "part").select(F.lit("HR").alias("bill_type"), F.col("p_partkey").alias("bill_number"), F.col("p_partkey").alias("id"))
     cited = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set(S.bill_token(F.lit("HR"), F.col("l_partkey"))).alias("bill_references"))
     filings = cited.join(table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("filing_year")), "id")
-    return joins.bill_lobbying(bills, filings, 3).select("bill_id", "id")
+    return joins.bill_lobbying(bills, filings).select("bill_id", "id")
 
 
 @registered("SELECT o_orderkey FROM orders WHERE o_custkey = (SELECT min(c_custkey) FROM customer WHERE c_custkey = 42 HAVING count(DISTINCT c_custkey) = 1)")

@@ -91,20 +91,33 @@ def check_drift(df: DataFrame, ok, act: Callable[[DataFrame], None], at_least: i
     return found
 
 
-def replayed(spark: SparkSession, path: str) -> DataFrame:
-    """The events table as a finished stream: repeats dropped within the watermark, then the stored result (batch).
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir; a local session without one gets a temporary folder, a cluster an error."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='docketlake-')}"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    A single pass with availableNow; state and result live in the folder of spark.checkpoint.dir, where it is set.
+
+def replayed(spark: SparkSession, path: str, late_days: int = 10) -> DataFrame:
+    """The events table as a finished stream in three batches, repeats dropped within the watermark (batch result).
+
+    The first batch holds all but the first ``late_days`` days; the second repeats it, as a trailing walk does; the third
+    holds those first days, which are later than the watermark allows and are dropped with it (I3).
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='docketlake-')}"
-    base = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    folder, _, name = path.rpartition("/")
-    schema = spark.read.parquet(path).schema
-    events = file_stream(spark, folder, schema, pattern=name).withColumn("ts", F.col("ts").cast("timestamp"))
-    once = without_repeats(events, ["event_id"], "ts").select("event_id", "user_id", "event_type", "ts", "value")
+    base = shared_folder(spark, "stream")
+    events = spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "user_id", "event_type", "ts", "value")
+    first = events.agg(F.min("ts").alias("_first")).withColumn("_from", F.col("_first") + F.expr(f"INTERVAL {late_days} DAYS"))
+    marked = events.join(F.broadcast(first), F.lit(True)).withColumn("_late", F.col("ts") < F.col("_from")).drop("_first", "_from")
+    for k, late in enumerate((False, False, True)):
+        marked.where(F.col("_late") == F.lit(late)).drop("_late").coalesce(1).write.parquet(f"{base}/landing/{k}")
+    stream = file_stream(spark, f"{base}/landing/*", events.schema, files_per_batch=1)
+    once = without_repeats(stream, ["event_id"], "ts")
     query = once.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(once.schema).parquet(f"{base}/out")
+    return spark.read.schema(events.schema).parquet(f"{base}/out")
 
 
 @dataclass
