@@ -359,16 +359,18 @@ def join(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with one row of each group of near copies: that of the least doc_id.
 
-    A null doc_id counts last; among rows of the same doc_id the least set and then the first place decide. Rows of the
-    same doc_id whose texts are no near copies of each other are different documents, and all stay.
+    A null doc_id counts last; among rows of the same doc_id the least set and then the least hash of the text decide.
+    Rows of the same doc_id whose texts are no near copies of each other are different documents, and all stay; of rows
+    with the same doc_id and text any one does.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    placed = written(docs.select(whole, F.col("doc_id"), F.col("text"), F.monotonically_increasing_id().alias("place")), "placed")
-    rows, sets = _classified(placed)
+    place = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows, sets = _classified(docs.select("doc_id", "text", place.alias("place")))
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "a", "b", "place")
-    classes = _met(rows, sets.select(*NODE, "ca", "cb", "copies"), [*NODE], "copies").groupBy("ca", "cb").agg(F.min(rank).alias("_first"))
-    kept = classes.select(F.col("_first.place").alias("place"))
-    return placed.select("_row", "place").join(kept.hint("shuffle_hash"), "place", "left_semi").select("_row.*")
+    first = _met(rows, sets.select(*NODE, "ca", "cb", "copies"), [*NODE], "copies").groupBy("ca", "cb").agg(F.min(rank).alias("_first"))
+    kept = first.select(F.col("_first.doc_id").alias("_kept"), F.col("_first.place").alias("_kept_place"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), place.alias("_place"))
+    same = F.col("_id").eqNullSafe(F.col("_kept")) & (F.col("_place") == F.col("_kept_place"))
+    return whole.join(kept.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["_id", "_place"]).select("_row.*")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
