@@ -94,8 +94,15 @@ class Chunk:
         return starts, ends, np.searchsorted(self.offsets, starts, side="right") - 1
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, seed: int = 1, lower: bool = False) -> np.ndarray:
-        table = _value(seed)
-        return run_hash((table[LOWER] if lower else table)[self.data], starts, ends)
+        """Hashes of runs that lie in order, some megabytes at a time, so that a long text needs little more than itself."""
+        table, out, lo = _value(seed), np.empty(len(starts), np.uint64), 0
+        table = table[LOWER] if lower else table
+        while lo < len(starts):
+            hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + CHUNK_BYTES, side="right")))
+            first = starts[lo]
+            out[lo:hi] = run_hash(table[self.data[first : ends[hi - 1]]], starts[lo:hi] - first, ends[lo:hi] - first)
+            lo = hi
+        return out
 
     def total(self, mask: np.ndarray) -> np.ndarray:
         """How many bytes of each row the mask (a table of 256) marks."""

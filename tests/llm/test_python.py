@@ -48,6 +48,28 @@ def test_runs_and_windows(texts, limit):
     assert all(len(g) == 1 for g in grams.values()) and len(grams) == len({(a, b) for _, a, b in plain})
 
 
+def test_hashes_do_not_depend_on_how_a_text_is_cut(monkeypatch):
+    text = " ".join(random.Random(2).choice(["a", "bc", "def", "x" * 40]) for _ in range(500))
+    chunk = next(textvec.chunks(pa.array([text])))
+    starts, ends, _ = chunk.runs()
+    whole = chunk.hashes(starts, ends)
+    for limit in (1, 7, 64):
+        monkeypatch.setattr(textvec, "CHUNK_BYTES", limit)
+        assert (chunk.hashes(starts, ends) == whole).all()
+
+
+def test_a_very_long_text_and_many_long_ones(spark):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(5000)]
+    passage = [rnd.choice(words) for _ in range(30)]
+    long = lambda n: [rnd.choice(words) for _ in range(n)]
+    texts = [long(1_000_000), *([*long(70_000), *passage] for _ in range(12))]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(1)
+    found = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.deduplicated(df, texts=False).collect()}
+    assert found == {0: (1_000_000, 0), 1: (70_030, 0), **{k: (70_030, 30) for k in range(2, 13)}}
+    assert jaccard_join.join(df).where("n_links > 0").count() == 0 and quality_classifier.document_statistics(df).count() == 13
+
+
 # --- classifier
 
 
