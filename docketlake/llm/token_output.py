@@ -31,6 +31,8 @@ END_ID = 2
 #: Bytes of words and ids that a worker keeps, with WORD_COST for each word, in two halves: a full one becomes the old
 #: one, whose words come back when they are met again, and so frequent words stay.
 CACHED_BYTES, WORD_COST = 350 << 20, 150
+#: Words not met before that are encoded at a time.
+JOINED_WORDS = 1 << 16
 #: Bytes of text of a shard, and the number of shards beyond which they grow instead.
 SHARD_BYTES, MOST_SHARDS = 4 << 20, 50_000
 
@@ -158,7 +160,7 @@ class WordTokenizer:
 
     def encode(self, text: bytes) -> np.ndarray:
         words = text.split()  # of bytes: at space and U+0009 to U+000D, as elsewhere here
-        if new := [w for w in set(words) if w not in self.known]:
+        if new := list(set(words).difference(self.known)):
             if self.held > CACHED_BYTES // 2:
                 self.old, self.known, self.held, new = self.known, {}, 0, list(set(words))
             unseen = []
@@ -167,11 +169,23 @@ class WordTokenizer:
                     self.known[w] = self.old[w]
                 else:
                     unseen.append(w)
-            for w, found in zip(unseen, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in unseen], add_special_tokens=False), strict=True):
-                self.known[w] = array("I", found.ids).tobytes()
+            for lo in range(0, len(unseen), JOINED_WORDS):
+                self._learn(unseen[lo : lo + JOINED_WORDS])
             self.held += sum(len(w) + len(self.known[w]) + WORD_COST for w in new)
         return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words as one text, cheaper than each alone, and part its ids where the next word's characters start."""
+        spelled = [w.decode("utf-8") for w in words]
+        found = self.tokenizer.encode(" ".join(spelled), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4").tobytes()
+        begins = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found))
+        following = np.cumsum(np.fromiter(map(len, spelled), np.int64, len(spelled)) + 1)
+        lo = 0
+        for w, hi in zip(words, (4 * np.searchsorted(begins, following)).tolist(), strict=True):
+            self.known[w] = ids[lo:hi]
+            lo = hi
+
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Encode ``docs`` and write a shard for each range of doc_id, ids ascending (null first).
