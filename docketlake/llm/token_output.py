@@ -31,6 +31,8 @@ END_ID = 2
 #: Bytes of words and ids that a worker keeps, with WORD_COST for each word, in two halves: a full one becomes the old
 #: one, whose words come back when they are met again, and so frequent words stay.
 CACHED_BYTES, WORD_COST = 350 << 20, 150
+#: Ids that a task reads back, in whole shards.
+READ_IDS = 1 << 22
 #: Words not met before that are encoded at a time.
 JOINED_WORDS = 1 << 16
 #: Bytes of text of a shard, and the number of shards beyond which they grow instead.
@@ -220,7 +222,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 def read_shards(manifest: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start over all shards, n_tokens and the checksum of its ids."""
     starts = F.coalesce(F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    n = max(1, manifest.count())
+    shards, ids = manifest.agg(F.count("*"), F.sum("n_ids")).first()
+    n = max(1, min(shards, -(-(ids or 0) // READ_IDS)))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
