@@ -557,3 +557,13 @@ def test_cached_words_are_bounded_by_bytes(monkeypatch):
         text = " ".join(["often", f"rare{k}", f"x{k}y"])
         assert words.encode(text.encode()).tolist() == [i for w in text.split() for i in whole.encode(w, add_special_tokens=False).ids]
         assert len(words.known) < 30 and b"often" in words.known
+
+
+def test_words_learnt_together_are_those_of_the_whole_text(monkeypatch):
+    monkeypatch.setattr(token_output, "JOINED_WORDS", 7)
+    words = token_output.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    letters = [*"ab9.-_'\"", "\u00e9", "e\u0301", "\u0301", "\u00a0", "\u200b", "\u0130", "\ufb01", "\u4e2d", "\U0001f600", "\x00", "\x85", "\u3000", "<|endoftext|>", "[UNK]", " ", "\n", "\t"]
+    rng = np.random.default_rng(5)
+    for _ in range(2000):
+        text = "".join(rng.choice(letters, rng.integers(0, 40)))
+        assert words.encode(text.encode()).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
