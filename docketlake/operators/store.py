@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -128,6 +131,35 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(files.makeQualified(beside), files.makeQualified(at), over)
 
 
+def write_files(rows: DataFrame, folder: str) -> int:
+    """Write a file for each row (name, text) into a folder, on executors, and return their number.
+
+    A file is written beside its place, under a name that Spark's readers pass over, and moved there, so a task that runs
+    again leaves the same files. A null text is an empty file (which Spark's readers pass over too), a null name an error.
+    """
+    spark = rows.sparkSession
+    files, jvm = _files(spark, folder)
+    at = files.makeQualified(jvm.org.apache.hadoop.fs.Path(folder))
+    files.mkdirs(at)
+    uri = at.toString()
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = fs.FileSystem.from_uri(uri)
+        attempt = TaskContext.get().taskAttemptId()
+        for frame in frames:
+            for name, text in zip(frame["name"], frame["text"], strict=True):
+                if name is None:
+                    raise ValueError("a file without a name")
+                beside = f"{root}/_{name}.{attempt}"
+                with store.open_output_stream(beside) as out:
+                    out.write((text or "").encode("utf-8"))
+                store.move(beside, f"{root}/{name}")
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    dealt = rows.select("name", "text").repartition(spark.sparkContext.defaultParallelism, "name")  # a number, so that few bytes are not dealt to one task
+    return dealt.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """The names in a folder; none if it is not there."""
     files, jvm = _files(spark, path)

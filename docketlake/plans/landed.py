@@ -198,10 +198,9 @@ def q_read_senate_reports(spark, d):
     page = f"<table><tr>{head}</tr>" + row("1", "01/05/2026", "Spouse", "ACM", "Acme", "Stock", "Purchase", "$1,001 - $15,000") + row("2", "01/06/2026", "Self", "--", "Bond of 2030", "Corporate Bond", "Purchase", "Unknown") + "</table>"
     path = shared_folder(spark, "senate")
     makers = table(spark, d, "supplier").select("s_suppkey", "s_name")
-    for r in makers.collect():  # the readers take a file for each report
-        store.write_text(spark, f"{path}/S{r.s_suppkey}.html", page)
+    store.write_files(makers.select(F.concat(F.lit("S"), "s_suppkey", F.lit(".html")).alias("name"), F.lit(page).alias("text")), path)  # the readers take a file for each report
     filings = makers.select(F.concat(F.lit("S"), "s_suppkey").alias("doc_id"), F.col("s_name").alias("member_name"), F.lit("B").alias("bioguide_id"), F.lit("X").alias("party"), F.lit("NY").alias("state"), F.lit("2026-01-09").cast("date").alias("filed_at"))
-    good, _, _ = documents.senate_reports(spark, f"{path}/*", filings, AT)
+    good, _, _ = documents.senate_reports(spark, path, filings, AT)
     return good.select("id", "side", "asset_type", "amount_min", F.col("provenance.needs_review").alias("needs_review"), F.col("provenance.confidence").alias("confidence"), "member_name")
 
 

@@ -45,3 +45,12 @@ def test_no_nested_loops(spark, name):
 def test_filters_reach_the_scan(spark):
     plan = catalogue.QUERIES["q_insider_min_value"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "In(l_returnflag" in plan and "l_tax" not in plan
+
+
+def test_reports_are_written_on_executors(spark, con, monkeypatch):
+    def once_a_report(*_):
+        raise AssertionError("the driver writes a report")
+
+    monkeypatch.setattr(catalogue.store, "write_text", once_a_report)
+    name = "q_read_senate_reports"
+    same(catalogue.QUERIES[name](spark, SF), con, catalogue.ORACLES[name])

@@ -213,3 +213,14 @@ def test_entity_names_and_sides(spark):
     kinds = {"Corporate Bond": "bond", "Stock Option": "option", "Cryptocurrency": "crypto", "Mutual Fund": "fund", "Common Stock": "stock", "Farm": "other", None: "other"}
     df = spark.createDataFrame([(k,) for k in kinds], "n string")
     assert {r.n: r.x for r in df.select("n", S.senate_asset_type(F.col("n")).alias("x")).collect()} == kinds
+
+
+def test_files_of_rows(spark, tmp_path):
+    files = spark.range(300).selectExpr("concat('D', id, '.html') AS name", "IF(id = 7, NULL, concat('é ', id)) AS text")
+    folder = f"file://{tmp_path}/reports"
+    assert store.write_files(files.limit(0), folder) == 0 and spark.read.format("binaryFile").load(folder).count() == 0
+    assert store.write_files(files, folder) == store.write_files(files, folder) == 300  # again, the same files
+    found = {p.name: p.read_text(encoding="utf-8") for p in (tmp_path / "reports").iterdir()}
+    assert found == {f"D{i}.html": "" if i == 7 else f"é {i}" for i in range(300)}
+    with pytest.raises(Exception, match="a file without a name"):
+        store.write_files(spark.sql("SELECT CAST(NULL AS STRING) AS name, 'x' AS text"), folder)
