@@ -67,7 +67,8 @@ class Trackers:
         return self.tables[name] if name in self.tables else DATASETS[name].empty(self.spark)
 
     def _listing(self, name: str, parts, limit=None) -> DataFrame:
-        return with_citation(P.listing(self.table(name), parts, DATASETS[name].order, limit))
+        by = DATASETS[name].order
+        return with_citation(P.listing(self.table(name), parts, by if "id" in by else (*by, "id"), limit))  # the id settles ties
 
     @staticmethod
     def _range(column: str, since, until=None):

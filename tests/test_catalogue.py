@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from docketlake.plans import catalogue
+from docketlake.api import Trackers
+from docketlake.plans import catalogue, listings
 from tests.oracle import connect, same
 
 SF = "/root/testdata/sf0.001"
@@ -64,3 +66,12 @@ def test_an_hour_is_measured_in_fractions_of_seconds(spark, tmp_path):
     found = catalogue.QUERIES["q_rolling_grants"](spark, str(tmp_path))
     assert {r.user_id: r.most_in_an_hour for r in found.collect()} == {0: 3, 1: 2, 2: 1, 3: 1, None: 1}
     same(found, connect(str(tmp_path)), catalogue.ORACLES["q_rolling_grants"])
+
+
+@pytest.mark.parametrize("tool, dataset", [("cot", "cot-reports")])
+def test_ids_settle_ties_of_a_listing(spark, tool, dataset):
+    same_keys = listings.made(spark, SF, dataset).where("id % 105 = 1").withColumns({"report_date" if tool == "cot" else "day": F.lit("1996-01-01").cast("date")})
+    ids = sorted(r.id for r in same_keys.select("id").collect())
+    for rows in (same_keys.orderBy("id"), same_keys.orderBy(F.desc("id"))):  # however the rows lie
+        found = getattr(Trackers(spark, {dataset: rows.repartitionByRange(4, F.rand(7))}), tool)(limit=5)
+        assert len(ids) > 10 and [r.id for r in found.collect()] == ids[:5]
