@@ -68,7 +68,7 @@ def test_an_hour_is_measured_in_fractions_of_seconds(spark, tmp_path):
     same(found, connect(str(tmp_path)), catalogue.ORACLES["q_rolling_grants"])
 
 
-@pytest.mark.parametrize("tool, dataset", [("cot", "cot-reports")])
+@pytest.mark.parametrize("tool, dataset", [("cot", "cot-reports"), ("wiki_pageviews", "wiki-pageviews")])
 def test_ids_settle_ties_of_a_listing(spark, tool, dataset):
     same_keys = listings.made(spark, SF, dataset).where("id % 105 = 1").withColumns({"report_date" if tool == "cot" else "day": F.lit("1996-01-01").cast("date")})
     ids = sorted(r.id for r in same_keys.select("id").collect())
